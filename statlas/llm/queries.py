@@ -4,20 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statlas.llm import simhash
-from statlas.llm._util import prepare, table
+from statlas.llm import pii, simhash, substring, urlfilter
+from statlas.llm._util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _sha256(text: Column) -> Column:
+    return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", _sha256(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = F.col("pii")
+    counts = [pii.count(found, k).alias(f"n_{k}") for k in pii.BASE]
+    return docs.select("doc_id", *counts, _sha256(pii.joined(pii.base(found))).alias("base_sha256"), pii.joined(found).alias("spans"))
+
+
+#: The rules of the URL query.
+RULES = [
+    urlfilter.Rule("allow", "org", "/"),
+    urlfilter.Rule("block", "example.org", "/es/"),
+    urlfilter.Rule("block", "example.org", "/en/1"),
+    urlfilter.Rule("allow", "com", "/fr/"),
+    urlfilter.Rule("block", "com", "/de/"),
+]
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_substring": op2_substring,
     "op3_simhash": op3_simhash,
+    "op5_pii": op5_pii,
+    "op10_urls": op10_urls,
 }
 
 ORACLE_SQL: dict[str, str] = {}
