@@ -4,7 +4,7 @@ The token budget goes down the tree. At each node it is dealt to the children by
 that cannot use its share (its capacity is its tokens times max_epochs) takes what it has, and the
 rest is dealt among its siblings before anything is left over for the node's own siblings. A
 leaf's budget buys whole epochs first; the rest buys a prefix, in tokens, of the next epoch's order,
-which a hash of seed, epoch and doc_id gives.
+which a hash of seed, epoch and doc_id gives; the document at its end is in if at least half of it fits.
 
 The prefix ends are found with aggregates: tokens by leaf and hash bucket, running sums over the
 buckets, and a running sum over the documents of the one bucket in which a leaf's prefix ends.
@@ -107,7 +107,7 @@ def cuts(narrow: DataFrame, mix: Mix) -> DataFrame:
     last = docs.join(_sent(ends), LEAF).where(F.col("bucket") == F.col("end"))
     peers = last.groupBy(*LEAF, "rest", "before", "turn").agg(F.sum("n_tokens").alias("n"))
     upto = F.col("before") + F.sum("n").over(Window.partitionBy(*LEAF).orderBy("turn"))
-    inside = peers.withColumn("upto", upto).where("upto <= rest").groupBy(*LEAF).agg(F.max("turn").alias("last"))
+    inside = peers.withColumn("upto", upto).where("2 * upto - n <= 2 * rest").groupBy(*LEAF).agg(F.max("turn").alias("last"))
     found = leaves.join(ends, LEAF, "left").join(inside, LEAF, "left")
     below = F.shiftleft("end", shift) - 1
     return found.select(*LEAF, "epochs", F.coalesce("last", below, F.lit(-1)).alias("cut"))
