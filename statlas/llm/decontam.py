@@ -174,6 +174,10 @@ def _blocks(rows: Iterator, size: int) -> Iterator[list[tuple[int, bytes]]]:
         yield block
 
 
+def _item_rows(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), F.lower("text").cast("binary").alias("text"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, threshold: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment): documents that hold at least threshold of an item's distinct shingles.
 
@@ -185,9 +189,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, th
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, n_shared long, n_item long, containment double"
     texts = docs.select(F.col("doc_id").cast("long"), F.lower("text").alias("text"))
-    rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), F.lower("text").cast("binary").alias("text"))
     out = spark.createDataFrame([], schema)
-    for block in _blocks(rows.toLocalIterator(), block_bytes):
+    for block in _blocks(_item_rows(benchmark).toLocalIterator(), block_bytes):
         sent = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -205,7 +208,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, th
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
-    """docs without the documents that hold an item of benchmark. Documents with a null doc_id stay only if no such document leaks."""
-    leaks = find_leaks(docs, benchmark, shingle, threshold).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, threshold: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs without the documents that hold an item of benchmark, found as by find_leaks and dropped in the same pass."""
+    prepare(docs.sparkSession)
+    schema = docs.schema
+    for block in _blocks(_item_rows(benchmark).toLocalIterator(), block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items = Items(sent.value, shingle)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for row, _, data, offsets in _text.chunks(batch.column(batch.num_columns - 1)):
+                    keep[[row + f[0] for f in search_chunk(data, offsets, items, shingle, threshold)]] = False
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=schema.names).filter(pa.array(keep))
+
+        docs = docs.withColumn("_lower", F.lower("text")).mapInArrow(run, schema)
+    return docs

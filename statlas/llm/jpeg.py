@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import struct
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 
@@ -74,6 +75,7 @@ class Image:
     scans: list[Scan] = field(default_factory=list)
     comments: list[bytes] = field(default_factory=list)
     mcus: tuple[int, int] = (0, 0)
+    layout: tuple[tuple[int, ...], ...] = ()
 
     @property
     def blocks(self) -> int:
@@ -158,6 +160,7 @@ def parse(data: bytes, tables: Tables) -> Image:
                 c.high, c.wide, c.base = image.mcus[0] * c.v, image.mcus[1] * c.h, base
                 c.seen_high, c.seen_wide = -(-(-(-image.height * c.v // v)) // 8), -(-(-(-image.width * c.h // h)) // 8)
                 base += c.high * c.wide
+            image.layout = tuple((c.h, c.v, c.wide, c.base, c.seen_high, c.seen_wide) for c in image.components)
         elif 0xC0 <= kind <= 0xCF and kind not in (0xC8, 0xCC):
             raise ValueError(f"frame {kind:x} is not progressive Huffman")
         elif kind == 0xDD:
@@ -175,58 +178,65 @@ def parse(data: bytes, tables: Tables) -> Image:
     return image
 
 
-def scan_order(image: Image, scan: Scan) -> tuple[np.ndarray, int]:
-    """The blocks of a scan in its order, and how many of them an MCU has."""
-    if len(scan.parts) == 1:
-        c = image.components[scan.parts[0][0]]
-        return (c.base + np.arange(c.seen_high)[:, None] * c.wide + np.arange(c.seen_wide)).ravel(), 1
-    rows, columns = image.mcus
+@lru_cache(maxsize=1024)
+def _order(layout: tuple[tuple[int, ...], ...], mcus: tuple[int, int], parts: tuple[int, ...]) -> tuple[np.ndarray, int]:
+    """layout: h, v, blocks in a row, first block, and rows and columns of a lone scan, of each component."""
+    if len(parts) == 1:
+        _, _, wide, base, high, across = layout[parts[0]]
+        return (base + np.arange(high)[:, None] * wide + np.arange(across)).ravel(), 1
+    rows, columns = mcus
     out = []
-    for i, _, _ in scan.parts:
-        c = image.components[i]
-        y = np.arange(rows)[:, None, None, None] * c.v + np.arange(c.v)[:, None]
-        x = np.arange(columns)[:, None, None] * c.h + np.arange(c.h)
-        out.append((c.base + y * c.wide + x).reshape(rows * columns, c.h * c.v))
+    for i in parts:
+        h, v, wide, base, _, _ = layout[i]
+        y = np.arange(rows)[:, None, None, None] * v + np.arange(v)[:, None]
+        x = np.arange(columns)[:, None, None] * h + np.arange(h)
+        out.append((base + y * wide + x).reshape(rows * columns, h * v))
     order = np.concatenate(out, axis=1)
     return order.ravel(), order.shape[1]
 
 
+def scan_order(image: Image, scan: Scan) -> tuple[np.ndarray, int]:
+    """The blocks of a scan in its order, and how many of them an MCU has."""
+    find = _order if image.blocks < 4096 else _order.__wrapped__
+    return find(image.layout, image.mcus, tuple(p[0] for p in scan.parts))
+
+
 class Lanes:
     """Restart intervals of several scans: their bits, tables, parameters and blocks."""
 
     def __init__(self, jobs: list[tuple[bytes, Image, Scan, int]]) -> None:
-        raw, orders, begin, end, job, per = [], [], [], [], [], []
-        size = blocks = 0
-        lane_bytes = []
-        for i, (data, image, scan, base) in enumerate(jobs):
+        orders, per, steps, bases = [], [], [], []
+        for _, image, scan, base in jobs:
             order, of_mcu = scan_order(image, scan)
-            step = (scan.interval or -(-len(order) // of_mcu)) * of_mcu
-            n = -(-len(order) // step)
-            starts = blocks + np.arange(n) * step
-            begin.append(starts)
-            end.append(np.minimum(starts + step, blocks + len(order)))
-            job.append(np.full(n, i))
-            per.append(np.full(n, of_mcu))
-            orders.append(order + base)
-            blocks += len(order)
-            part = np.frombuffer(data, np.uint8)[scan.start : scan.end]
-            marks = np.flatnonzero((part[:-1] == 0xFF) & (part[1:] >= 0xD0) & (part[1:] <= 0xD7)) + 2
-            lane_bytes.append(size + np.r_[0, marks[: n - 1]])
-            raw.append(part)
-            size += len(part)
-        flat = np.concatenate([*raw, np.zeros(16, np.uint8)])
+            orders.append(order)
+            per.append(of_mcu)
+            steps.append((scan.interval or -(-len(order) // of_mcu)) * of_mcu)
+            bases.append(base)
+        count = np.array([len(o) for o in orders])
+        step, n = np.array(steps), -(-count // np.array(steps))
+        self.order = np.concatenate(orders) + np.repeat(bases, count)
+        self.job = np.repeat(np.arange(len(jobs)), n)
+        self.per = np.array(per)[self.job]
+        nth = np.arange(len(self.job)) - np.repeat(np.cumsum(n) - n, n)
+        above = np.cumsum(count)
+        self.begin = (above - count)[self.job] + nth * step[self.job]
+        self.end = np.minimum(self.begin + step[self.job], above[self.job])
+        flat = np.frombuffer(b"".join([memoryview(data)[scan.start : scan.end] for data, _, scan, _ in jobs] + [bytes(16)]), np.uint8)
+        size = np.array([scan.end - scan.start for _, _, scan, _ in jobs])
+        start = np.cumsum(size) - size
         after = flat[:-1] == 0xFF
         drop = np.zeros(len(flat), bool)
         drop[1:] = after & (flat[1:] == 0)
-        restart = after & (flat[1:] >= 0xD0) & (flat[1:] <= 0xD7)
-        drop[:-1] |= restart
-        drop[1:] |= restart
+        marks = np.flatnonzero(after & (flat[1:] >= 0xD0) & (flat[1:] <= 0xD7))
+        drop[marks] = drop[marks + 1] = True
+        marks = marks[np.arange(len(marks)) - np.searchsorted(marks, start)[np.searchsorted(start, marks, side="right") - 1] < (n - 1)[np.searchsorted(start, marks, side="right") - 1]]
+        begins = np.sort(np.concatenate([start, marks + 2]))
+        if len(begins) != len(self.job):
+            raise ValueError("a scan lacks restart markers")
         kept = np.cumsum(~drop) - ~drop
         self.bits = np.r_[flat[~drop], np.zeros(16, np.uint8)]
         self.words = np.ndarray((len(self.bits) - 8,), ">u8", self.bits.tobytes(), strides=(1,))
-        self.pos = kept[np.concatenate(lane_bytes)] * 8
-        self.begin, self.end, self.job, self.per = (np.concatenate(x) for x in (begin, end, job, per))
-        self.order = np.concatenate(orders)
+        self.pos = kept[begins] * 8
 
     def peek(self, pos: np.ndarray) -> np.ndarray:
         """The next bits of each lane, at least 57, from the top of a word."""
@@ -243,9 +253,15 @@ def _extend(value: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _dc_first(x: Lanes, jobs: list, coef: np.ndarray, lookup: np.ndarray) -> None:
-    table_of = np.concatenate([np.concatenate([np.full(image.components[i].h * image.components[i].v if len(scan.parts) > 1 else 1, dc) for i, dc, _ in scan.parts]) for _, image, scan, _ in jobs])
-    comp_of = np.concatenate([np.concatenate([np.full(image.components[i].h * image.components[i].v if len(scan.parts) > 1 else 1, i) for i, _, _ in scan.parts]) for _, image, scan, _ in jobs])
-    sizes = [sum(image.components[i].h * image.components[i].v for i, _, _ in scan.parts) if len(scan.parts) > 1 else 1 for _, image, scan, _ in jobs]
+    table_of, comp_of, sizes = [], [], []
+    for _, image, scan, _ in jobs:
+        before = len(comp_of)
+        for i, dc, _ in scan.parts:
+            n = image.components[i].h * image.components[i].v if len(scan.parts) > 1 else 1
+            table_of += [dc] * n
+            comp_of += [i] * n
+        sizes.append(len(comp_of) - before)
+    table_of, comp_of = np.array(table_of), np.array(comp_of)
     offset = (np.cumsum(sizes) - sizes)[x.job]
     shift = np.array([scan.shift for _, _, scan, _ in jobs])[x.job]
     pos, blk, end, per, begin = x.pos, x.begin.copy(), x.end, x.per, x.begin
@@ -437,14 +453,13 @@ def packed(bits: Bits, lanes: int) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(data, stuffed, 0), ends + np.searchsorted(stuffed, ends, side="right")
 
 
+SIZES = np.array([x.bit_length() for x in range(1 << 12)])
+
+
 def _magnitude(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Size category and extra bits."""
-    size = np.zeros(len(v), np.int64)
-    a = np.abs(v)
-    while a.any():
-        size += a > 0
-        a = a >> 1
-    return size, np.where(v < 0, v + (1 << size) - 1, v).astype(U)
+    size = SIZES[np.abs(v)]
+    return size, (v - (v < 0) + ((v < 0) << size)).astype(U)
 
 
 def dc_first_bits(value: np.ndarray, previous: np.ndarray, lane: np.ndarray) -> Bits:

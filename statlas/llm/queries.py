@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlas.llm import decontam, htmltext, langid, mixing, pii, simhash, substring, urlfilter, warc
+from statlas.llm import decontam, htmltext, langid, media, mixing, pii, simhash, substring, urlfilter, warc
 from statlas.llm._util import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,21 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = media.load(media.store(table(spark, sf_dir, "documents")))
+    size, payload = F.length("payload"), F.col("payload")
+    return read.select(
+        "doc_id",
+        "n_bytes",
+        size.cast("long").alias("payload_bytes"),
+        F.sha2(payload, 256).alias("payload_sha256"),
+        F.crc32(F.substr(payload, size - media.UNIT + 1, F.lit(media.UNIT))).alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.held_out(F.col("doc_id")))
     model = langid.fit(docs.where(~F.col("held_out")).select("text", "lang"))
@@ -83,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc": op4_warc,
     "op5_pii": op5_pii,
     "op6_main_text": op6_main_text,
+    "op7_media": op7_media,
     "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_urls": op10_urls,

@@ -165,3 +165,15 @@ def near_duplicates(docs: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
     """
     found = components(cut(fingerprints(docs, k, seed)))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
+    """docs with one document of each group of near-duplicates: that with the smallest doc_id.
+
+    Of rows that share the doc_id of a kept document one stays. Documents without a doc_id stay if no other is in their group.
+    """
+    found = components(cut(fingerprints(docs, k, seed)))
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id"]) if repeated else kept
