@@ -1,11 +1,586 @@
-"""The registered queries of the country-year engine and their DuckDB oracles."""
+"""The registered queries of the country-year engine, each next to its DuckDB oracle."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from statlas.functions import scalars as S
+from statlas.operators import concepts, evidence, growth, intervals, joins, reshape, scoring, series
+from statlas.plans import facts
+from statlas.plans.query import execute
+from statlas.plans.spec import Filter, Query, Transform, from_payload
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: The country-year fact, as facts.fact() builds it.
+FACT_SQL = """
+base AS (SELECT n_name AS country_iso3, r_name AS political_regime_bucket, 'regime ' || (n_nationkey % 4) AS political_regime,
+                CAST(year(o_orderdate) AS INT) AS year, o_custkey, o_totalprice
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+cy AS (SELECT country_iso3, political_regime_bucket, political_regime, year, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS population, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS gdp
+       FROM base GROUP BY ALL),
+f AS (SELECT 'chronicle.population' AS metric_id, * EXCLUDE (population, gdp), population AS value FROM cy
+      UNION ALL SELECT 'chronicle.gdp', * EXCLUDE (population, gdp), gdp FROM cy
+      UNION ALL SELECT 'chronicle.gdp_per_capita', * EXCLUDE (population, gdp), gdp / population FROM cy)
+"""
+CUSTOMER_SQL = "g AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS INT) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS value, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY ALL)"
+
+
+def query(sql: str):
+    """Register a function under its own name, with its oracle."""
+
+    def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _r(c: str | Column, digits: int = 4) -> Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+
+
+# Semantic queries
+
+
+def _add_query(name: str, spec: Query, sql: str, strict: bool = False, keys: tuple[str, ...] = ("year", "political_regime_bucket")) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = execute(spec, facts.fact(spark, sf_dir), strict)
+        more = ["aggregation"] if spec.aggregation != "none" else []
+        return out.select(*keys, "metric_id", _r(F.col("value") + 0.00003).alias("value"), "metric_label", "value_unit", *more)
+
+    run.__name__ = name
+    query(sql)(run)
+
+
+_LABELS = """CASE metric_id WHEN 'chronicle.population' THEN 'Population' WHEN 'chronicle.gdp' THEN 'GDP' ELSE 'GDP per capita' END AS metric_label,
+CASE metric_id WHEN 'chronicle.population' THEN 'persons' ELSE 'source_native' END AS value_unit"""
+_KEYS = "year, political_regime_bucket, metric_id"
+_AGGREGATES = {"count": "CAST(count(*) AS DOUBLE)", "sum": "coalesce(sum(value), 0)", "mean": "avg(value)", "median": "median(value)", "min": "min(value)", "max": "max(value)"}
+
+for _kind, _sql in _AGGREGATES.items():
+    _add_query(
+        f"viz_query_{_kind}",
+        Query((facts.GDP, facts.POPULATION), aggregation=_kind, group_by=("year", "political_regime_bucket")),
+        f"WITH {FACT_SQL} SELECT {_KEYS}, round({_sql} + 0.00003, 4) AS value, {_LABELS}, '{_kind}' AS aggregation FROM f WHERE metric_id <> 'chronicle.gdp_per_capita' GROUP BY {_KEYS}",
+    )
+_add_query(
+    "viz_query_weighted_mean",
+    Query((facts.PER_HEAD,), aggregation="weighted_mean", group_by=("year", "political_regime_bucket"), weight_metric_id=facts.POPULATION),
+    f"WITH {FACT_SQL}, w AS (SELECT country_iso3, year, value AS w FROM f WHERE metric_id = 'chronicle.population') "
+    f"SELECT {_KEYS}, round(sum(value * w) / sum(w) + 0.00003, 4) AS value, {_LABELS}, 'weighted_mean' AS aggregation FROM f JOIN w USING (country_iso3, year) WHERE metric_id = 'chronicle.gdp_per_capita' GROUP BY {_KEYS}",
+)
+_ROWS = ("country_iso3", "year", "political_regime_bucket")
+_SELECT = f"SELECT country_iso3, {_KEYS}, round(value + 0.00003, 4) AS value, {_LABELS}"
+_add_query("viz_query_none", from_payload({"metric": facts.GDP}), f"WITH {FACT_SQL} {_SELECT} FROM f WHERE metric_id = 'chronicle.gdp'", True, _ROWS)
+_FILTERS = {
+    "eq": (Filter("political_regime_bucket", "eq", "ASIA"), "political_regime_bucket = 'ASIA'"),
+    "in": (Filter("country_iso3", "in", ["NATION_3", "NATION_7", "NATION_18"]), "country_iso3 IN ('NATION_3', 'NATION_7', 'NATION_18')"),
+    "gte": (Filter("year", "gte", 1997), "year >= 1997"),
+    "lte": (Filter("year", "lte", 1996), "year <= 1996"),
+}
+for _kind, (_f, _sql) in _FILTERS.items():
+    _add_query(f"viz_filter_{_kind}", Query((facts.POPULATION,), filters=(_f,)), f"WITH {FACT_SQL} {_SELECT} FROM f WHERE metric_id = 'chronicle.population' AND {_sql}", True, _ROWS)
+_add_query("viz_filter_time_range", from_payload({"metric": facts.GDP, "time_range": [1996, 1998], "aggregation": "sum", "group_by": ["year", "political_regime_bucket"]}), f"WITH {FACT_SQL} SELECT {_KEYS}, round(sum(value) + 0.00003, 4) AS value, {_LABELS}, 'sum' AS aggregation FROM f WHERE metric_id = 'chronicle.gdp' AND year BETWEEN 1996 AND 1998 GROUP BY {_KEYS}", True)
+_TRANSFORMS = {
+    "rolling_mean": (Transform("rolling_mean", window=3), "avg(value) OVER (PARTITION BY metric_id, country_iso3 ORDER BY year ROWS 2 PRECEDING)"),
+    "yoy": (Transform("year_over_year_change"), "CASE WHEN year - lag(year) OVER w = 1 THEN value - lag(value) OVER w END"),
+    "index_base": (Transform("index_to_base_year", base_year=1996), "value / max(CASE WHEN year = 1996 THEN value END) OVER (PARTITION BY metric_id, country_iso3) * 100"),
+    "minmax": (Transform("min_max_normalize"), "(value - min(value) OVER (PARTITION BY metric_id)) / (max(value) OVER (PARTITION BY metric_id) - min(value) OVER (PARTITION BY metric_id))"),
+    "log10": (Transform("log10"), "log10(value)"),
+}
+for _kind, (_t, _sql) in _TRANSFORMS.items():
+    _add_query(
+        f"transform_{_kind}",
+        Query((facts.GDP, facts.POPULATION), transforms=(_t,)),
+        f"WITH {FACT_SQL}, t AS (SELECT country_iso3, {_KEYS}, {_sql} AS value FROM f WHERE metric_id <> 'chronicle.gdp_per_capita' WINDOW w AS (PARTITION BY metric_id, country_iso3 ORDER BY year)) {_SELECT} FROM t",
+        keys=_ROWS,
+    )
+
+
+# Growth tables
+
+
+@query(
+    f"""WITH {FACT_SQL}, t AS (SELECT *, lag(value) OVER w AS pv, year - lag(year) OVER w AS gap FROM f WINDOW w AS (PARTITION BY country_iso3, metric_id ORDER BY year)),
+    u AS (SELECT *, CASE WHEN gap = 1 THEN pv END AS b FROM t)
+    SELECT country_iso3, metric_id, year, round(value, 4) AS value, round(b, 4) AS prev_value, round(value - b, 4) AS yoy_abs_change,
+    round(CASE WHEN b <> 0 THEN value / b - 1 END, 6) AS yoy_pct_growth, CAST(year // 10 * 10 AS INT) AS decade FROM u"""
+)
+def growth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = growth.country_year_growth(facts.fact(spark, sf_dir))
+    return out.select("country_iso3", "metric_id", "year", *(_r(c).alias(c) for c in ("value", "prev_value", "yoy_abs_change")), _r("yoy_pct_growth", 6).alias("yoy_pct_growth"), "decade")
+
+
+@query(
+    f"""WITH {FACT_SQL}, p AS (SELECT country_iso3, year, value AS people FROM f WHERE metric_id = 'chronicle.population'),
+    y AS (SELECT *, CASE WHEN year - lag(year) OVER w = 1 THEN value / lag(value) OVER w - 1 END AS yoy FROM f WINDOW w AS (PARTITION BY country_iso3, metric_id ORDER BY year)),
+    j AS (SELECT y.*, people FROM y JOIN p USING (country_iso3, year)),
+    l AS (SELECT *, true AS is_bucket, political_regime_bucket AS name FROM j UNION ALL SELECT *, false, political_regime FROM j),
+    a AS (SELECT year, metric_id, is_bucket, name, CAST(count(DISTINCT country_iso3) AS BIGINT) AS n_countries, avg(value) AS m, sum(value) AS s, sum(value * people) / sum(people) AS w, avg(yoy) AS y FROM l GROUP BY ALL)
+    SELECT year, metric_id, CASE WHEN is_bucket THEN name ELSE '' END AS political_regime_bucket, CASE WHEN is_bucket THEN '' ELSE name END AS political_regime, n_countries,
+    round(m + 0.003, 2) AS mean_value, round(s + 0.003, 2) AS sum_value, round(w + 0.003, 2) AS pop_weighted_mean_value, round(y + 0.0000003, 6) AS mean_yoy_pct_growth,
+    round(lag(m) OVER (PARTITION BY metric_id, is_bucket, name ORDER BY year) + 0.003, 2) AS prev_mean_value FROM a"""
+)
+def regime_year_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = growth.regime_year_aggregates(facts.fact(spark, sf_dir))
+    # rounded a little off, so that exact halves do not depend on the order of sums
+    values = ("mean_value", "sum_value", "pop_weighted_mean_value", "prev_mean_value")
+    return out.select("year", "metric_id", "political_regime_bucket", "political_regime", "n_countries", *(_r(F.col(c) + 0.003, 2).alias(c) for c in values), _r(F.col("mean_yoy_pct_growth") + 0.0000003, 6).alias("mean_yoy_pct_growth"))
+
+
+_CAGR_SQL = """c AS (SELECT {k}, max(year) AS end_year FROM {t} GROUP BY ALL),
+    cg AS (SELECT {k2}, c.end_year, s.value AS start_value, e.value AS end_value, CASE WHEN s.value > 0 THEN (power(e.value / s.value, 1.0 / {n}) - 1) * 100 END AS cagr_pct
+    FROM c JOIN {t} e ON {e} AND e.year = c.end_year LEFT JOIN {t} s ON {s} AND s.year = c.end_year - {n})"""
+
+
+def _cagr_sql(table: str, keys: tuple[str, ...], n: int) -> str:
+    on = lambda a: " AND ".join(f"{a}.{k} = c.{k}" for k in keys)
+    return _CAGR_SQL.format(k=", ".join(keys), k2=", ".join(f"c.{k}" for k in keys), t=table, n=n, e=on("e"), s=on("s"))
+
+
+@query(
+    f"""WITH {FACT_SQL}, {_cagr_sql("f", ("country_iso3", "metric_id"), 5)},
+    w AS (SELECT country_iso3, {", ".join(f"max(end_value) FILTER (metric_id = 'chronicle.{m}') AS latest_{m}, max(end_year) FILTER (metric_id = 'chronicle.{m}') AS {m}_latest_year, round(max(cagr_pct) FILTER (metric_id = 'chronicle.{m}'), 6) AS {m}_5yr_cagr_pct" for m in ("population", "gdp", "gdp_per_capita"))} FROM cg GROUP BY ALL)
+    SELECT country_iso3, {", ".join(f"round(latest_{m}, 4) AS latest_{m}, {m}_latest_year, {m}_5yr_cagr_pct, CAST(rank() OVER (ORDER BY latest_{m} DESC) AS INT) AS {m}_rank" for m in ("population", "gdp", "gdp_per_capita"))},
+    greatest(population_latest_year, gdp_latest_year, gdp_per_capita_latest_year) AS latest_year, b.political_regime, b.political_regime_bucket FROM w JOIN (SELECT DISTINCT country_iso3, political_regime, political_regime_bucket FROM f) b USING (country_iso3)"""
+)
+def country_latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = growth.country_latest_metrics(facts.fact(spark, sf_dir), years=5)
+    cells = [c for m in ("population", "gdp", "gdp_per_capita") for c in (_r(f"latest_{m}").alias(f"latest_{m}"), F.col(f"{m}_latest_year"), _r(f"{m}_5yr_cagr_pct", 6).alias(f"{m}_5yr_cagr_pct"), F.col(f"{m}_rank"))]
+    return out.select("country_iso3", *cells, "latest_year", "political_regime", "political_regime_bucket")
+
+
+@query(f"WITH {CUSTOMER_SQL}, {_cagr_sql('g', ('key',), 3)} SELECT key, end_year, round(start_value, 4) AS start_value, round(end_value, 4) AS end_value, round(cagr_pct, 6) AS cagr_pct FROM cg")
+def cagr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = growth.cagr(facts.customer_years(spark, sf_dir), ("key",), 3)
+    return out.select("key", "end_year", _r("start_value").alias("start_value"), _r("end_value").alias("end_value"), _r("cagr_pct", 6).alias("cagr_pct"))
+
+
+# Events and reshaping
+
+
+@query(
+    """WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, value FROM events),
+    a AS (SELECT user_id, day, count(*) AS n_all, count(*) FILTER (event_type = 'click') AS n_click, sum(value) FILTER (event_type = 'click') AS sum_click, count(*) FILTER (event_type = 'purchase') AS n_purchase, sum(value) FILTER (event_type = 'purchase') AS sum_purchase FROM e GROUP BY ALL),
+    u AS (SELECT DISTINCT user_id % 50 AS user_id FROM e), d AS (SELECT DISTINCT day FROM e), b AS (SELECT user_id % 50 AS user_id, day, sum(n_all) AS n_all, sum(n_click) AS n_click, sum(sum_click) AS sum_click, sum(n_purchase) AS n_purchase, sum(sum_purchase) AS sum_purchase FROM a GROUP BY ALL)
+    SELECT user_id AS entity, strftime(day, '%Y-%m-%d') AS day, CAST(coalesce(n_all, 0) AS BIGINT) AS n_all, CAST(coalesce(n_click, 0) AS BIGINT) AS n_click, round(coalesce(sum_click, 0), 4) AS sum_click, CAST(coalesce(n_purchase, 0) AS BIGINT) AS n_purchase, round(coalesce(sum_purchase, 0), 4) AS sum_purchase
+    FROM u CROSS JOIN d LEFT JOIN b USING (user_id, day)"""
+)
+def event_grid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = facts.table(spark, sf_dir, "events").select((F.col("user_id") % 50).alias("entity"), F.to_date("ts").alias("day"), "event_type", "value")
+    out = reshape.event_grid(events, "entity", "day", "event_type", "value", ["click", "purchase"])
+    return out.withColumns({"day": F.date_format("day", "yyyy-MM-dd")} | {c: _r(c) for c in ("sum_click", "sum_purchase")})
+
+
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+
+
+@query(
+    "WITH o AS (SELECT o_custkey, o_orderpriority, o_totalprice, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey) AS k FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')) "
+    "SELECT o_custkey, " + ", ".join(f"max(o_totalprice) FILTER (o_orderpriority = '{p}') AS \"{p}\"" for p in _PRIORITIES) + " FROM o WHERE k = 1 GROUP BY o_custkey"
+)
+def pivot_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshape.first_pivot(facts.table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", _PRIORITIES, ["o_totalprice"], "o_orderkey")
+
+
+@query(
+    "WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS k FROM orders) SELECT o_custkey, "
+    + ", ".join(f"max(o_totalprice) FILTER (o_orderstatus = '{s}') AS \"o_totalprice_{s}\", max(o_orderkey) FILTER (o_orderstatus = '{s}') AS \"o_orderkey_{s}\"" for s in "FO")
+    + " FROM o WHERE k = 1 AND o_orderstatus IN ('F', 'O') GROUP BY o_custkey"
+)
+def pivot_two_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = facts.table(spark, sf_dir, "orders").withColumn("_order", F.col("o_orderkey"))
+    return reshape.first_pivot(orders, ["o_custkey"], "o_orderstatus", ["F", "O"], ["o_totalprice", "o_orderkey"], "_order")
+
+
+@query(
+    "SELECT l_orderkey, l_linenumber, 'quantity' AS variable_name, l_quantity AS value FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, 'discount', l_discount FROM lineitem WHERE l_discount IS NOT NULL UNION ALL SELECT l_orderkey, l_linenumber, 'tax', l_tax FROM lineitem"
+)
+def unpivot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshape.long(facts.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], {"l_quantity": "quantity", "l_discount": "discount", "l_tax": "tax"})
+
+
+@query("SELECT o_custkey AS id, o_orderstatus AS kind, NULL AS name, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL UNION ALL SELECT c_custkey, NULL, c_name, NULL FROM customer")
+def union_missing_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = facts.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("kind")).agg(_r(F.sum("o_totalprice"), 2).alias("total"))
+    b = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return reshape.union_all(a, b).select("id", "kind", "name", "total")
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1")
+def first_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = facts.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority", "o_orderdate")
+    return reshape.first_wins(orders, ["o_custkey"], F.col("o_orderdate"), F.col("o_orderkey")).drop("o_orderdate")
+
+
+@query("SELECT l_partkey, l_suppkey, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("n")).where("n > 1")
+
+
+# Lookup joins
+
+
+@query(
+    """SELECT p_partkey, p_brand, p_retailprice, CAST(rank() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC) AS INT) AS price_rank FROM part"""
+)
+def rank_min_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = facts.table(spark, sf_dir, "part")
+    return part.select("p_partkey", "p_brand", "p_retailprice", growth.min_rank(F.col("p_retailprice"), "p_brand").alias("price_rank"))
+
+
+@query("SELECT s_nationkey, s_suppkey, s_acctbal FROM supplier QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) = 1")
+def top1_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.top_one(facts.table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", "s_acctbal"), ["s_nationkey"], F.desc("s_acctbal"), F.col("s_suppkey"))
+
+
+@query(
+    """WITH c AS (SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL)
+    SELECT l_partkey, l_suppkey, CAST(n AS BIGINT) AS n, count(*) OVER (PARTITION BY l_partkey) > 1 AS several FROM c QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, l_suppkey) = 1"""
+)
+def mode_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.mode_by(facts.table(spark, sf_dir, "lineitem"), ["l_partkey"], "l_suppkey")
+
+
+@query(
+    """SELECT o_custkey, o_orderkey, o_orderpriority FROM orders
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '2-HIGH' THEN 1 WHEN '1-URGENT' THEN 2 WHEN '5-LOW' THEN 3 ELSE 4 END, o_orderdate DESC, o_orderkey) = 1"""
+)
+def priority_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = facts.table(spark, sf_dir, "orders")
+    return joins.by_priority(orders, ["o_custkey"], "o_orderpriority", ["2-HIGH", "1-URGENT", "5-LOW"], F.desc("o_orderdate"), F.col("o_orderkey")).select("o_custkey", "o_orderkey", "o_orderpriority")
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL}, t AS (SELECT c_custkey AS key, y.year FROM customer CROSS JOIN (SELECT DISTINCT year FROM g) y),
+    a AS (SELECT key, year, value FROM g WHERE n >= 2), b AS (SELECT key, year, -n AS value FROM g), j AS (SELECT t.key, t.year, CASE WHEN t.year <= 1998 THEN a.value END AS v0, CASE WHEN t.year >= 1996 THEN b.value END AS v1 FROM t LEFT JOIN a USING (key, year) LEFT JOIN b USING (key, year))
+    SELECT key, year, round(coalesce(v0, v1), 4) AS value, CASE WHEN v0 IS NOT NULL THEN 'large' WHEN v1 IS NOT NULL THEN 'count' ELSE 'missing' END AS source FROM j"""
+)
+def fallback_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = facts.customer_years(spark, sf_dir)
+    customers = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    targets = customers.crossJoin(F.broadcast(g.select("year").distinct()))
+    sources = [("large", g.where("n >= 2"), F.col("year") <= 1998), ("count", g.select("key", "year", (-F.col("n")).cast("double").alias("value")), F.col("year") >= 1996)]
+    return joins.fallback_chain(targets, ["key", "year"], sources, "value").withColumn("value", _r("value"))
+
+
+@query(
+    """WITH o AS (SELECT o_custkey AS c_custkey, max(o_totalprice) AS c_acctbal FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL)
+    SELECT c_custkey, c_name, c_mktsegment, coalesce(o.c_acctbal, c.c_acctbal) AS c_acctbal FROM customer c FULL JOIN o USING (c_custkey)"""
+)
+def overlay_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = facts.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    cache = facts.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("c_acctbal"))
+    return joins.overlay(base, cache, ["c_custkey"])
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = facts.table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    return joins.only_in(facts.table(spark, sf_dir, "customer").select("c_custkey", "c_name"), orders, ["c_custkey"])
+
+
+@query(
+    """WITH a AS (SELECT n_nationkey AS k, n_name AS name FROM nation WHERE n_nationkey < 20), b AS (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE lower(n_name) END AS name FROM nation WHERE n_nationkey >= 10)
+    SELECT k, coalesce(b.name, a.name) AS name, CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'merged' WHEN a.k IS NOT NULL THEN 'table' ELSE 'curated' END AS provenance FROM a FULL JOIN b USING (k)"""
+)
+def dimension_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = facts.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"))
+    curated = nation.where("k >= 10").withColumn("name", F.when(F.col("k") % 3 != 0, F.lower("name")))
+    return joins.merged_dimension(nation.where("k < 20"), curated, ["k"], ("table", "curated"))
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL} SELECT c_custkey AS key, round(coalesce(p.value, q.value), 4) AS value, CASE WHEN p.value IS NOT NULL THEN 1998 WHEN q.value IS NOT NULL THEN 1997 END AS year_used
+    FROM customer LEFT JOIN (SELECT * FROM g WHERE year = 1998) p ON p.key = c_custkey LEFT JOIN (SELECT * FROM g WHERE year = 1997) q ON q.key = c_custkey"""
+)
+def preferred_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    return joins.preferred_year(customers, facts.customer_years(spark, sf_dir), ["key"], 1998, 1997, "value", "n").withColumn("value", _r("value"))
+
+
+@query("WITH c AS (SELECT DISTINCT n_name FROM nation), y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year FROM orders) SELECT n_name, year FROM c CROSS JOIN y")
+def cross_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    years = facts.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    return facts.table(spark, sf_dir, "nation").select("n_name").distinct().crossJoin(F.broadcast(years))
+
+
+# Intervals
+
+_SPELLS_SQL = "sp AS (SELECT o_custkey, o_orderkey, o_orderdate AS s, max(l_shipdate) AS e FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL), ex AS (SELECT *, CAST(unnest(range(year(s), year(e) + 1)) AS INT) AS year FROM sp WHERE year(s) <= year(e))"
+
+
+def _spells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = facts.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("e"))
+    orders = facts.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("s"))
+    return orders.join(last, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
+
+
+@query(f"WITH {_SPELLS_SQL} SELECT o_custkey, year, o_orderkey, CAST(count(*) OVER (PARTITION BY o_custkey, year) AS BIGINT) AS n_spells FROM ex QUALIFY row_number() OVER (PARTITION BY o_custkey, year ORDER BY s, o_orderkey) = 1")
+def interval_stab_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.stab_earliest(_spells(spark, sf_dir), ["o_custkey"], "s", "e", "o_orderkey", 1900, 2100).drop("s")
+
+
+@query(
+    f"""WITH {_SPELLS_SQL}, d AS (SELECT *, date_diff('day', greatest(CAST(s AS DATE), make_date(year, 1, 1)), least(CAST(e AS DATE), make_date(year, 12, 31))) + 1 AS days FROM ex)
+    SELECT o_custkey, year, o_orderkey, CAST(days AS INT) AS days, count(*) OVER (PARTITION BY o_custkey, year) > 1 AS several FROM d WHERE days > 0 QUALIFY row_number() OVER (PARTITION BY o_custkey, year ORDER BY days DESC, s, o_orderkey) = 1"""
+)
+def interval_overlap_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.overlap_longest(_spells(spark, sf_dir), ["o_custkey"], "s", "e", "o_orderkey", 1900, 2100)
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL}, p AS (SELECT key, min(year) AS a, max(year) - 1 AS b, min(n) AS v FROM g GROUP BY key HAVING max(year) > min(year)), l AS (SELECT max(b) AS last FROM p)
+    SELECT g.key, g.year, coalesce(h.v, CASE WHEN g.year > last THEN p.v END) AS v, h.v IS NULL AND g.year > last AND p.v IS NOT NULL AS is_proxy
+    FROM g CROSS JOIN l LEFT JOIN p h ON h.key = g.key AND g.year BETWEEN h.a AND h.b LEFT JOIN p ON p.key = g.key"""
+)
+def period_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = facts.customer_years(spark, sf_dir)
+    periods = g.groupBy("key").agg(F.min("year").alias("a"), (F.max("year") - 1).alias("b"), F.min("n").alias("v")).where("a <= b")
+    return intervals.period_value(g.select("key", "year"), periods, ["key"], "a", "b", "v")
+
+
+# Series with gaps
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL}, y AS (SELECT key, CAST(unnest(range(min(year), max(year) + 3)) AS INT) AS year FROM g GROUP BY key), j AS (SELECT y.key, y.year, g.value FROM y LEFT JOIN g USING (key, year)),
+    k AS (SELECT *, last_value(CASE WHEN value IS NOT NULL THEN year END IGNORE NULLS) OVER b AS py, last_value(value IGNORE NULLS) OVER b AS pv, first_value(CASE WHEN value IS NOT NULL THEN year END IGNORE NULLS) OVER a AS ny, first_value(value IGNORE NULLS) OVER a AS nv FROM j
+          WINDOW b AS (PARTITION BY key ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY key ORDER BY year ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+    r AS (SELECT key, year, value, CASE WHEN ny > py THEN pv + (nv - pv) * (year - py) / (ny - py) END AS line, CASE WHEN year - py <= 1 THEN pv END AS carried FROM k)
+    SELECT key, year, round(coalesce(value, line, carried) + 0.003, 2) AS filled, CASE WHEN value IS NOT NULL THEN 'exact' WHEN line IS NOT NULL THEN 'interpolated' WHEN carried IS NOT NULL THEN 'proxy' ELSE 'missing' END AS method FROM r"""
+)
+def interpolate_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = facts.customer_years(spark, sf_dir).select("key", "year", "value")
+    years = g.groupBy("key").agg(F.sequence(F.min("year"), F.max("year") + 2).alias("_y")).select("key", F.explode("_y").alias("year"))
+    return series.filled(years.join(g, ["key", "year"], "left"), ["key"]).select("key", "year", _r(F.col("filled") + 0.003, 2).alias("filled"), "method")
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL}, y AS (SELECT key, CAST(unnest(range(min(year), max(year) + 1)) AS INT) AS year FROM g GROUP BY key), j AS (SELECT y.key, y.year, g.value FROM y LEFT JOIN g USING (key, year))
+    SELECT key, year, round(coalesce(value, lag(value) OVER (PARTITION BY key ORDER BY year)), 4) AS carried FROM j"""
+)
+def carry_forward_1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = facts.customer_years(spark, sf_dir).select("key", "year", "value")
+    return series.carried_forward(series.yearly(g, ["key"]), ["key"]).select("key", "year", _r("carried").alias("carried"))
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL}, z AS (SELECT key, year, CASE WHEN n = 1 THEN 0.0 ELSE CAST(n AS DOUBLE) END AS v FROM g), y AS (SELECT key, CAST(unnest(range(min(year), max(year) + 1)) AS INT) AS year FROM g GROUP BY key), j AS (SELECT y.key, y.year, z.v FROM y LEFT JOIN z USING (key, year)),
+    k AS (SELECT *, last_value(v IGNORE NULLS) OVER (PARTITION BY key ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p, first_value(v IGNORE NULLS) OVER (PARTITION BY key ORDER BY year ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS q FROM j)
+    SELECT key, year, coalesce(v IS NULL AND p = 0 AND q = 0, false) AS bracketed FROM k"""
+)
+def bracketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = facts.customer_years(spark, sf_dir).select("key", "year", F.when(F.col("n") == 1, F.lit(0.0)).otherwise(F.col("n").cast("double")).alias("v"))
+    return series.bracketed(series.yearly(g, ["key"]), ["key"], "v").select("key", "year", "bracketed")
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL}, z AS (SELECT key, year, CASE WHEN n > 1 THEN n END AS v FROM g)
+    SELECT key, year, coalesce(v, CASE WHEN min(v) OVER (PARTITION BY key) = max(v) OVER (PARTITION BY key) THEN min(v) OVER (PARTITION BY key) END) AS resolved FROM z"""
+)
+def unambiguous_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = facts.customer_years(spark, sf_dir).select("key", "year", F.when(F.col("n") > 1, F.col("n")).alias("v"))
+    return series.only_value(g, ["key"], "v").select("key", "year", "resolved")
+
+
+# Evidence, scoring, concepts
+
+
+def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as observations: a customer is a country, the priority the variable, the status the source."""
+    return facts.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("country"), F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("variable_name"), F.col("o_orderstatus").alias("source_id"), F.col("o_orderkey").alias("observation_id"), F.col("o_totalprice").alias("value")
+    )
+
+
+_OBS_SQL = "obs AS (SELECT o_custkey AS country, CAST(year(o_orderdate) AS INT) AS year, o_orderpriority AS variable_name, o_orderstatus AS source_id, o_orderkey AS observation_id, o_totalprice AS value FROM orders)"
+
+
+@query(
+    f"""WITH {_OBS_SQL} SELECT country, variable_name, 1998 AS target_year, year, source_id, observation_id, value, CASE WHEN year = 1998 THEN 'direct' ELSE 'proxy' END AS temporal_kind FROM obs WHERE abs(year - 1998) IN (0, 1, 2)
+    QUALIFY row_number() OVER (PARTITION BY country, variable_name ORDER BY abs(year - 1998), year DESC, source_id, observation_id) = 1"""
+)
+def asof_best_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = _observations(spark, sf_dir)
+    targets = obs.select("country", "variable_name").distinct().withColumn("target_year", F.lit(1998))
+    return evidence.best_observations(obs, targets, ["country", "variable_name"], (1, 2))
+
+
+@query(
+    f"""WITH {_OBS_SQL}, ex AS (SELECT c_custkey AS country, p AS variable_name FROM customer CROSS JOIN (VALUES ('1-URGENT'), ('2-HIGH'), ('5-LOW')) v(p)), seen AS (SELECT DISTINCT country, variable_name FROM obs WHERE year = 1998)
+    SELECT country, variable_name, CASE variable_name WHEN '5-LOW' THEN 'X' ELSE 'F' END AS source_id, CASE variable_name WHEN '1-URGENT' THEN 'required' WHEN '2-HIGH' THEN 'preferred' ELSE 'fallback' END AS role,
+    CASE variable_name WHEN '5-LOW' THEN 'source_not_implemented' ELSE 'target_year_absent' END AS reason, CASE variable_name WHEN '1-URGENT' THEN 'high' WHEN '2-HIGH' THEN 'medium' ELSE 'low' END AS severity FROM ex ANTI JOIN seen USING (country, variable_name)"""
+)
+def missing_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = _observations(spark, sf_dir).where("year = 1998")
+    plan = spark.createDataFrame([("1-URGENT", "F", "required"), ("2-HIGH", "F", "preferred"), ("5-LOW", "X", "fallback")], "variable_name string, source_id string, role string")
+    expected = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("country")).crossJoin(F.broadcast(plan))
+    known = spark.createDataFrame([("F",), ("O",), ("P",)], "source_id string")
+    return evidence.missing_indicators(expected, obs, known, ["country"]).select("country", "variable_name", "source_id", "role", "reason", "severity")
+
+
+@query(
+    f"""WITH {CUSTOMER_SQL} SELECT y.year, CAST(count(*) FILTER (c_mktsegment <> 'BUILDING') AS BIGINT) AS n_existing, CAST(count(value) FILTER (c_mktsegment <> 'BUILDING') AS BIGINT) AS n_with_value, CAST(count(*) FILTER (c_mktsegment = 'BUILDING') AS BIGINT) AS n_excluded,
+    round(count(value) FILTER (c_mktsegment <> 'BUILDING') / count(*) FILTER (c_mktsegment <> 'BUILDING'), 6) AS coverage FROM customer CROSS JOIN (SELECT DISTINCT year FROM g) y LEFT JOIN g ON g.key = c_custkey AND g.year = y.year GROUP BY y.year"""
+)
+def coverage_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = facts.customer_years(spark, sf_dir)
+    customers = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.when(F.col("c_mktsegment") == "BUILDING", "not_formed").otherwise("exists").alias("status"))
+    cells = customers.crossJoin(F.broadcast(g.select("year").distinct())).join(g, ["key", "year"], "left")
+    return scoring.coverage(cells, ["year"], "status", "value").withColumn("coverage", _r("coverage", 6))
+
+
+_EVENTS_SQL = "SELECT event_id, user_id, event_type FROM events WHERE "
+
+
+def _events(spark: SparkSession, sf_dir: str, ask: evidence.EvidenceQuery) -> DataFrame:
+    events = facts.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.lit(None).cast("int").alias("year"), F.col("event_type").alias("source_id"), F.lit("stream").alias("family"), F.col("event_type").alias("indicator_code"))
+    user = (F.col("user_id") % 7).cast("string")
+    events = events.withColumns({"country_code": F.when(F.col("user_id") % 2 == 0, user), "country_name": F.concat(F.lit("c"), user), "leader_id": user, "leader_name": user})
+    return evidence.query_observations(events, ask).select("event_id", "user_id", "event_type")
+
+
+@query(_EVENTS_SQL + "event_type IN ('click', 'view') AND ((user_id % 2 = 0 AND user_id % 7 = 3) OR user_id % 7 = 4)")
+def evidence_filter_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, evidence.EvidenceQuery(sources=("click", "view"), countries=("3", "c4")))
+
+
+@query(_EVENTS_SQL + "false")
+def evidence_filter_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, evidence.EvidenceQuery(indicators=()))
+
+
+@query(_EVENTS_SQL + "false")
+def evidence_filter_null_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, evidence.EvidenceQuery(years=(1998,)))
+
+
+_PLAN = [("1-URGENT", "required", "F", "a"), ("2-HIGH", "preferred", "F", "a"), ("3-MEDIUM", "preferred", "O", "b"), ("5-LOW", "fallback", "O", "b")]
+_SCORE_SQL = f"""WITH {_OBS_SQL}, n AS (SELECT country, variable_name, source_id, least(value / 500000, 1) AS v, CASE variable_name WHEN '1-URGENT' THEN 'a' WHEN '2-HIGH' THEN 'a' ELSE 'b' END AS grp FROM obs WHERE year = 1998 AND variable_name <> '4-NOT SPECIFIED'),
+    m AS (SELECT country, grp, avg(v) AS m FROM n GROUP BY ALL), s AS (SELECT country, sum(CASE grp WHEN 'a' THEN 0.7 ELSE 0.3 END * m) AS score FROM m GROUP BY ALL),
+    k AS (SELECT country, count(DISTINCT source_id) AS n_sources, count(DISTINCT variable_name) AS n_observed, count(DISTINCT CASE WHEN variable_name = '1-URGENT' THEN 1 END) AS n_required FROM n GROUP BY ALL),
+    j AS (SELECT c_custkey AS country, coalesce(n_sources, 0) AS n_sources, coalesce(n_observed, 0) AS n_observed, coalesce(n_required, 0) AS n_required, CASE WHEN n_sources >= 2 THEN least(greatest(score, 0), 1) END AS v FROM customer LEFT JOIN k ON k.country = c_custkey LEFT JOIN s ON s.country = c_custkey)"""
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = _observations(spark, sf_dir).where("year = 1998").withColumns({"category": F.lit("demo"), "normalized_value": F.least(F.col("value") / 500000, F.lit(1.0)), "temporal_kind": F.lit("direct"), "country_iso3": F.col("country")})
+    plan = spark.createDataFrame([("demo", *p) for p in _PLAN], "category string, variable_name string, role string, owning_source string, rubric_group string")
+    weights = spark.createDataFrame([("demo", "a", 0.7), ("demo", "b", 0.3)], "category string, rubric_group string, weight double")
+    categories = spark.createDataFrame([("demo", 2, False, False)], "category string, min_sources int, fixed_flags boolean, owner_only boolean")
+    entities = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("country_iso3"))
+    return scoring.scored(obs, plan, weights, categories, entities)
+
+
+@query(
+    _SCORE_SQL
+    + """ SELECT country AS country_iso3, round(v, 6) AS normalized_score, CAST(n_observed AS BIGINT) AS n_observed, CAST(n_sources AS BIGINT) AS n_sources, CASE WHEN n_sources >= 2 THEN 'scored' ELSE 'insufficient_data' END AS status,
+    array_to_string(list_filter([CASE WHEN n_sources < 2 THEN 'insufficient_data' END, CASE WHEN n_required < 1 THEN 'missing_primary_source' END, CASE WHEN n_observed / 4 < 0.5 THEN 'sparse_data' END], lambda x: x IS NOT NULL), '|') AS flags FROM j"""
+)
+def weighted_group_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).select("country_iso3", _r("normalized_score", 6).alias("normalized_score"), "n_observed", "n_sources", "status", "flags")
+
+
+@query(_SCORE_SQL + " SELECT country AS country_iso3, CAST(floor(1 + 9 * v + 0.5) AS INT) AS score_1_10 FROM j")
+def score_1_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).select("country_iso3", "score_1_10")
+
+
+@query(
+    """WITH s AS (SELECT p_partkey, p_size, CAST(least(100, greatest(0, round_even(round(0.35 * (p_size * 2) + 0.25 * 70 + 0.25 * 80 + 0.15 * (p_partkey % 101), 9), 0))) AS INT) AS confidence FROM part)
+    SELECT p_partkey, confidence, CASE WHEN confidence >= 85 THEN 'very_high' WHEN confidence >= 70 THEN 'high' WHEN confidence >= 50 THEN 'medium' WHEN confidence >= 30 THEN 'low' ELSE 'very_low' END AS band FROM s"""
+)
+def confidence_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = facts.table(spark, sf_dir, "part")
+    score = S.confidence(F.col("p_size") * 2, F.lit(70), F.lit(80), F.col("p_partkey") % 101)
+    return part.select("p_partkey", score.alias("confidence")).withColumn("band", S.band(F.col("confidence")))
+
+
+@query(
+    """WITH t AS (SELECT p_partkey, CAST(p_size % 11 AS INT) AS ours, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE CAST(p_partkey % 11 AS INT) END AS theirs, CAST(p_partkey % 101 AS INT) AS conf FROM part)
+    SELECT p_partkey, CASE WHEN theirs IS NULL THEN 'missing' WHEN abs(ours - theirs) <= 1 THEN 'match' WHEN abs(ours - theirs) > 2 THEN 'high_delta' ELSE 'conflict' END AS status,
+    ours IS NULL OR coalesce(abs(ours - theirs) > 2, false) OR conf < 60 AS review FROM t"""
+)
+def validation_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = facts.table(spark, sf_dir, "part")
+    ours, theirs = (F.col("p_size") % 11).cast("int"), F.when(F.col("p_partkey") % 9 != 0, (F.col("p_partkey") % 11).cast("int"))
+    return part.select("p_partkey", S.match_status(ours, theirs).alias("status"), S.needs_review(ours, theirs, F.col("p_partkey") % 101, F.lit(False)).alias("review"))
+
+
+def _concept_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as observations: quantity and discount by order, with gaps, doubles and zeros as they come."""
+    lines = facts.table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
+    code = F.when(F.col("l_linenumber") == 1, "rgdpo").otherwise("pop")
+    return lines.select(F.lit("pwt").alias("source_id"), F.col("l_orderkey").alias("country_code"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("observation_id"), code.alias("indicator_code"), F.when(F.col("l_linenumber") == 1, F.col("l_quantity")).otherwise(F.col("l_discount")).alias("value"))
+
+
+_LINES_SQL = "l AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN l_quantity ELSE l_discount END AS value FROM lineitem WHERE l_linenumber <= 2)"
+_DERIVED_SQL = f"""WITH {_LINES_SQL}, s AS (SELECT l_orderkey, count(*) FILTER (l_linenumber = 1) AS nt, count(*) FILTER (l_linenumber = 2) AS nb, min(value) FILTER (l_linenumber = 1) AS t, min(value) FILTER (l_linenumber = 2) AS b FROM l GROUP BY ALL),
+    d AS (SELECT l_orderkey AS country_code, CASE WHEN nt = 0 THEN 'missing_numerator' WHEN nb = 0 THEN 'missing_denominator' WHEN nt > 1 OR nb > 1 THEN 'ambiguous' WHEN b = 0 THEN 'zero_denominator' END AS reason, t, b FROM s)"""
+
+
+@query(f"WITH {_LINES_SQL} SELECT l_orderkey AS country_code, 'gdp' AS concept, value, 'numeric' AS value_type FROM l WHERE l_linenumber = 1")
+def concept_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapping = spark.createDataFrame([("gdp", "pwt", "rgdpo")], "concept string, source_id string, indicator_code string")
+    return concepts.direct(_concept_observations(spark, sf_dir), mapping).select("country_code", "concept", "value", "value_type")
+
+
+@query(f"{_DERIVED_SQL} SELECT country_code, round(t / b, 6) AS value FROM d WHERE reason IS NULL")
+def concept_derived_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = concepts.rows_and_warnings(concepts.ratio(_concept_observations(spark, sf_dir), "rgdpo", "pop", ("source_id", "country_code")))
+    return rows.select("country_code", _r("value", 6).alias("value"))
+
+
+@query(f"{_DERIVED_SQL} SELECT country_code, reason FROM d WHERE reason IS NOT NULL")
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, gone = concepts.rows_and_warnings(concepts.ratio(_concept_observations(spark, sf_dir), "rgdpo", "pop", ("source_id", "country_code")))
+    return gone.select("country_code", "reason")
+
+
+# Scalars
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k FROM events")
+def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+
+
+@query("SELECT page_id, CAST(len(regexp_extract_all(html, '<li>')) AS INT) AS n_items, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages")
+def regex_html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = F.size(F.regexp_extract_all("html", F.lit("<li>"), F.lit(0)))
+    return facts.table(spark, sf_dir, "pages").select("page_id", items.alias("n_items"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(regexp_replace(replace(lower(strip_accents(text)), 'ß', 'ss'), '[^a-z0-9 '']', '', 'g'), ' +', ' ', 'g')) AS name FROM documents")
+def name_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.table(spark, sf_dir, "documents").select("doc_id", S.plain_name(F.col("text")).alias("name"))
+
+
+@query("SELECT o_orderkey, round(o_totalprice, 2) AS price, CAST(year(o_orderdate) // 10 * 10 AS INT) AS decade, round(year(o_orderdate) + (dayofyear(o_orderdate) - 1) / 365.0, 6) AS decimal_year FROM orders")
+def comma_decimal_and_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.regexp_replace(F.format_string("%.2f", "o_totalprice"), r"\.", ",")
+    return facts.table(spark, sf_dir, "orders").select("o_orderkey", _r(S.comma_decimal(text), 2).alias("price"), S.decade(F.year("o_orderdate")).alias("decade"), _r(S.decimal_year(F.to_date("o_orderdate")), 6).alias("decimal_year"))
+
+
+@query("SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_size > 40 THEN 'large' END, CASE WHEN p_retailprice > 1500 THEN 'dear' END, CASE WHEN p_size % 2 = 0 THEN 'even' END], lambda x: x IS NOT NULL), '|') AS flags FROM part")
+def ordered_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = S.flags((F.col("p_size") > 40, "large"), (F.col("p_retailprice") > 1500, "dear"), (F.col("p_size") % 2 == 0, "even"), (F.col("p_size") > 40, "large"))
+    return facts.table(spark, sf_dir, "part").select("p_partkey", text.alias("flags"))
+
+
+@query("SELECT s_suppkey, substr(sha256(s_name), 1, 10) AS short_hash, round_even((7 - (s_suppkey % 7 + 1)) / 6.0, 6) AS rating FROM supplier")
+def hashes_and_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.table(spark, sf_dir, "supplier").select("s_suppkey", S.short_hash(F.col("s_name")).alias("short_hash"), S.freedom_rating(F.col("s_suppkey") % 7 + 1).alias("rating"))
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING), 4) AS running FROM orders")
+def running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
+    return facts.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", _r(F.sum("o_totalprice").over(w)).alias("running"))
