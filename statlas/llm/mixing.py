@@ -76,7 +76,8 @@ def deal(children: DataFrame, parent: list[str], child: str) -> DataFrame:
     out = children.withColumn("_level", level)
     open_ = F.col("capacity") > F.col("_level") * F.col("weight")
     final = F.min(F.when(open_, F.struct(F.col("capacity") / F.col("weight"), F.col(child), F.col("_level").alias("level")))).over(by)["level"]
-    share = F.coalesce(F.least(F.col("capacity").cast("double"), F.greatest(final * F.col("weight"), F.lit(0.0))), F.col("capacity").cast("double"))
+    full = F.col("capacity").cast("double")
+    share = F.when(final.isNull(), full).otherwise(F.least(full, F.greatest(final * F.col("weight"), F.lit(0.0))))
     return out.withColumn("dealt", share).drop("_level")
 
 
