@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from statlas.functions import scalars as S
 from statlas.operators import concepts, evidence, growth, intervals, joins, reshape, scoring, series
-from statlas.plans import facts
+from statlas.plans import chronicle, facts
 from statlas.plans.query import execute
 from statlas.plans.spec import Filter, Query, Transform, from_payload
+from statlas.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,7 +54,7 @@ def _add_query(name: str, spec: Query, sql: str, strict: bool = False, keys: tup
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = execute(spec, facts.fact(spark, sf_dir), strict)
         more = ["aggregation"] if spec.aggregation != "none" else []
-        return out.select(*keys, "metric_id", _r(F.col("value") + 0.00003).alias("value"), "metric_label", "value_unit", *more)
+        return out.select(*keys, "metric_id", _r(F.col("value") + 0.000011).alias("value"), "metric_label", "value_unit", *more)
 
     run.__name__ = name
     query(sql)(run)
@@ -68,16 +69,16 @@ for _kind, _sql in _AGGREGATES.items():
     _add_query(
         f"viz_query_{_kind}",
         Query((facts.GDP, facts.POPULATION), aggregation=_kind, group_by=("year", "political_regime_bucket")),
-        f"WITH {FACT_SQL} SELECT {_KEYS}, round({_sql} + 0.00003, 4) AS value, {_LABELS}, '{_kind}' AS aggregation FROM f WHERE metric_id <> 'chronicle.gdp_per_capita' GROUP BY {_KEYS}",
+        f"WITH {FACT_SQL} SELECT {_KEYS}, round({_sql} + 0.000011, 4) AS value, {_LABELS}, '{_kind}' AS aggregation FROM f WHERE metric_id <> 'chronicle.gdp_per_capita' GROUP BY {_KEYS}",
     )
 _add_query(
     "viz_query_weighted_mean",
     Query((facts.PER_HEAD,), aggregation="weighted_mean", group_by=("year", "political_regime_bucket"), weight_metric_id=facts.POPULATION),
     f"WITH {FACT_SQL}, w AS (SELECT country_iso3, year, value AS w FROM f WHERE metric_id = 'chronicle.population') "
-    f"SELECT {_KEYS}, round(sum(value * w) / sum(w) + 0.00003, 4) AS value, {_LABELS}, 'weighted_mean' AS aggregation FROM f JOIN w USING (country_iso3, year) WHERE metric_id = 'chronicle.gdp_per_capita' GROUP BY {_KEYS}",
+    f"SELECT {_KEYS}, round(sum(value * w) / sum(w) + 0.000011, 4) AS value, {_LABELS}, 'weighted_mean' AS aggregation FROM f JOIN w USING (country_iso3, year) WHERE metric_id = 'chronicle.gdp_per_capita' GROUP BY {_KEYS}",
 )
 _ROWS = ("country_iso3", "year", "political_regime_bucket")
-_SELECT = f"SELECT country_iso3, {_KEYS}, round(value + 0.00003, 4) AS value, {_LABELS}"
+_SELECT = f"SELECT country_iso3, {_KEYS}, round(value + 0.000011, 4) AS value, {_LABELS}"
 _add_query("viz_query_none", from_payload({"metric": facts.GDP}), f"WITH {FACT_SQL} {_SELECT} FROM f WHERE metric_id = 'chronicle.gdp'", True, _ROWS)
 _FILTERS = {
     "eq": (Filter("political_regime_bucket", "eq", "ASIA"), "political_regime_bucket = 'ASIA'"),
@@ -87,7 +88,7 @@ _FILTERS = {
 }
 for _kind, (_f, _sql) in _FILTERS.items():
     _add_query(f"viz_filter_{_kind}", Query((facts.POPULATION,), filters=(_f,)), f"WITH {FACT_SQL} {_SELECT} FROM f WHERE metric_id = 'chronicle.population' AND {_sql}", True, _ROWS)
-_add_query("viz_filter_time_range", from_payload({"metric": facts.GDP, "time_range": [1996, 1998], "aggregation": "sum", "group_by": ["year", "political_regime_bucket"]}), f"WITH {FACT_SQL} SELECT {_KEYS}, round(sum(value) + 0.00003, 4) AS value, {_LABELS}, 'sum' AS aggregation FROM f WHERE metric_id = 'chronicle.gdp' AND year BETWEEN 1996 AND 1998 GROUP BY {_KEYS}", True)
+_add_query("viz_filter_time_range", from_payload({"metric": facts.GDP, "time_range": [1996, 1998], "aggregation": "sum", "group_by": ["year", "political_regime_bucket"]}), f"WITH {FACT_SQL} SELECT {_KEYS}, round(sum(value) + 0.000011, 4) AS value, {_LABELS}, 'sum' AS aggregation FROM f WHERE metric_id = 'chronicle.gdp' AND year BETWEEN 1996 AND 1998 GROUP BY {_KEYS}", True)
 _TRANSFORMS = {
     "rolling_mean": (Transform("rolling_mean", window=3), "avg(value) OVER (PARTITION BY metric_id, country_iso3 ORDER BY year ROWS 2 PRECEDING)"),
     "yoy": (Transform("year_over_year_change"), "CASE WHEN year - lag(year) OVER w = 1 THEN value - lag(value) OVER w END"),
@@ -125,14 +126,14 @@ def growth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     l AS (SELECT *, true AS is_bucket, political_regime_bucket AS name FROM j UNION ALL SELECT *, false, political_regime FROM j),
     a AS (SELECT year, metric_id, is_bucket, name, CAST(count(DISTINCT country_iso3) AS BIGINT) AS n_countries, avg(value) AS m, sum(value) AS s, sum(value * people) / sum(people) AS w, avg(yoy) AS y FROM l GROUP BY ALL)
     SELECT year, metric_id, CASE WHEN is_bucket THEN name ELSE '' END AS political_regime_bucket, CASE WHEN is_bucket THEN '' ELSE name END AS political_regime, n_countries,
-    round(m + 0.003, 2) AS mean_value, round(s + 0.003, 2) AS sum_value, round(w + 0.003, 2) AS pop_weighted_mean_value, round(y + 0.0000003, 6) AS mean_yoy_pct_growth,
-    round(lag(m) OVER (PARTITION BY metric_id, is_bucket, name ORDER BY year) + 0.003, 2) AS prev_mean_value FROM a"""
+    round(m + 0.0011, 2) AS mean_value, round(s + 0.0011, 2) AS sum_value, round(w + 0.0011, 2) AS pop_weighted_mean_value, round(y + 0.00000011, 6) AS mean_yoy_pct_growth,
+    round(lag(m) OVER (PARTITION BY metric_id, is_bucket, name ORDER BY year) + 0.0011, 2) AS prev_mean_value FROM a"""
 )
 def regime_year_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = growth.regime_year_aggregates(facts.fact(spark, sf_dir))
     # rounded a little off, so that exact halves do not depend on the order of sums
     values = ("mean_value", "sum_value", "pop_weighted_mean_value", "prev_mean_value")
-    return out.select("year", "metric_id", "political_regime_bucket", "political_regime", "n_countries", *(_r(F.col(c) + 0.003, 2).alias(c) for c in values), _r(F.col("mean_yoy_pct_growth") + 0.0000003, 6).alias("mean_yoy_pct_growth"))
+    return out.select("year", "metric_id", "political_regime_bucket", "political_regime", "n_countries", *(_r(F.col(c) + 0.0011, 2).alias(c) for c in values), _r(F.col("mean_yoy_pct_growth") + 0.00000011, 6).alias("mean_yoy_pct_growth"))
 
 
 _CAGR_SQL = """c AS (SELECT {k}, max(year) AS end_year FROM {t} GROUP BY ALL),
@@ -355,12 +356,12 @@ def period_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     k AS (SELECT *, last_value(CASE WHEN value IS NOT NULL THEN year END IGNORE NULLS) OVER b AS py, last_value(value IGNORE NULLS) OVER b AS pv, first_value(CASE WHEN value IS NOT NULL THEN year END IGNORE NULLS) OVER a AS ny, first_value(value IGNORE NULLS) OVER a AS nv FROM j
           WINDOW b AS (PARTITION BY key ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY key ORDER BY year ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
     r AS (SELECT key, year, value, CASE WHEN ny > py THEN pv + (nv - pv) * (year - py) / (ny - py) END AS line, CASE WHEN year - py <= 1 THEN pv END AS carried FROM k)
-    SELECT key, year, round(coalesce(value, line, carried) + 0.003, 2) AS filled, CASE WHEN value IS NOT NULL THEN 'exact' WHEN line IS NOT NULL THEN 'interpolated' WHEN carried IS NOT NULL THEN 'proxy' ELSE 'missing' END AS method FROM r"""
+    SELECT key, year, round(coalesce(value, line, carried) + 0.0011, 2) AS filled, CASE WHEN value IS NOT NULL THEN 'exact' WHEN line IS NOT NULL THEN 'interpolated' WHEN carried IS NOT NULL THEN 'proxy' ELSE 'missing' END AS method FROM r"""
 )
 def interpolate_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = facts.customer_years(spark, sf_dir).select("key", "year", "value")
     years = g.groupBy("key").agg(F.sequence(F.min("year"), F.max("year") + 2).alias("_y")).select("key", F.explode("_y").alias("year"))
-    return series.filled(years.join(g, ["key", "year"], "left"), ["key"]).select("key", "year", _r(F.col("filled") + 0.003, 2).alias("filled"), "method")
+    return series.filled(years.join(g, ["key", "year"], "left"), ["key"]).select("key", "year", _r(F.col("filled") + 0.0011, 2).alias("filled"), "method")
 
 
 @query(
@@ -584,3 +585,95 @@ def hashes_and_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(Window.unboundedPreceding, 0)
     return facts.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", _r(F.sum("o_totalprice").over(w)).alias("running"))
+
+
+# Chronicle: nations as countries, order years moved to 2019..2025, order status as the source
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    orders = facts.table(spark, sf_dir, "orders").join(facts.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    by = orders.groupBy("c_nationkey", (F.year("o_orderdate") + 24).alias("year"), "o_orderstatus").agg(F.count("*").cast("double").alias("n"), F.sum(facts.money()).cast("double").alias("total"))
+    nations = F.broadcast(facts.table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("iso3")))
+    by = by.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).drop("c_nationkey")
+    some = lambda c, k: F.when((F.col("n_nationkey") + F.col("year")) % k != 0, c)
+    m, w, v = (by.where(F.col("o_orderstatus") == x) for x in "FOP")
+    scope = nations.select("iso3", F.initcap("iso3").alias("name"), (F.lit(2019) + F.col("n_nationkey") % 3).alias("start_year"), (F.lit(2023) + F.col("n_nationkey") % 3).alias("end_year"))
+    return {
+        "scope": scope,
+        "maddison": m.where("year <= 2022").select("iso3", "year", some(F.col("n") / 1000, 5).alias("pop"), (F.col("total") / F.col("n")).alias("gdppc")),
+        "wdi": w.select("iso3", "year", some(F.col("n"), 3).alias("population"), some(F.col("total"), 4).alias("gdp_constant"), some(F.col("total") * 2, 7).alias("gdp_current"), some(F.col("total") / F.col("n"), 2).alias("gdp_per_capita")),
+        "vdem": v.select("iso3", "year", F.lit(None).cast("double").alias("e_wb_pop"), some(F.col("n"), 2).alias("e_mipopula"), F.lit(None).cast("double").alias("e_pop"), F.col("total").alias("e_gdp"), (F.col("total") / F.col("n")).alias("e_gdppc"), (F.col("n_nationkey") % 5).alias("v2x_regime"), (F.col("n") % 10 / 10).alias("v2x_polyarchy"), (F.col("n_nationkey") % 4 != 0).cast("double").alias("v2svindep")),
+        "sipri": w.where("n > 1").select("iso3", "year", (F.col("total") / 100).alias("military_spend")),
+        "area": scope.select("iso3", F.lit(2019).alias("gwsyear"), F.lit(2023).alias("gweyear"), F.length("name").cast("double").alias("area")),
+        "leaders": orders.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("iso3", "n_nationkey", (F.year("o_orderdate") + 24).alias("year"), F.month("o_orderdate").alias("month"), F.col("o_orderpriority").alias("leader"), F.add_months(F.to_date("o_orderdate"), 288).alias("startdate"), F.add_months(F.to_date("o_orderdate"), 290).alias("enddate")),
+    }
+
+
+_LADDER_SQL = """WITH b AS (SELECT n_nationkey AS k, n_name AS iso3, CAST(year(o_orderdate) + 24 AS INT) AS year, o_orderstatus AS st, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+    g AS (SELECT n_name AS iso3, y.year FROM nation CROSS JOIN (SELECT CAST(unnest(range(2019, 2026)) AS INT) AS year) y),
+    m AS (SELECT iso3, year, CASE WHEN (k + year) % 5 <> 0 THEN n / 1000 END AS pop, total / n AS head FROM b WHERE st = 'F' AND year <= 2022),
+    w AS (SELECT iso3, year, CASE WHEN (k + year) % 3 <> 0 THEN n END AS pop, CASE WHEN (k + year) % 4 <> 0 THEN total END AS gc, CASE WHEN (k + year) % 7 <> 0 THEN total * 2 END AS gn, CASE WHEN (k + year) % 2 <> 0 THEN total / n END AS head FROM b WHERE st = 'O'),
+    v AS (SELECT iso3, year, total AS gdp, total / n AS head FROM b WHERE st = 'P'),
+    j AS (SELECT g.iso3, g.year, m.pop * 1000 AS mp, m.head * m.pop * 1000 AS mg, m.head AS mh, w.pop AS wp, w.gc, w.gn, w.head AS wh, v.gdp AS vg, v.head AS vh
+          FROM g LEFT JOIN m ON m.iso3 = g.iso3 AND m.year = least(g.year, 2022) LEFT JOIN w ON w.iso3 = g.iso3 AND w.year = g.year LEFT JOIN v ON v.iso3 = g.iso3 AND v.year = g.year),
+    s AS (SELECT *, CASE WHEN year <= 2022 AND mg IS NOT NULL THEN 'maddison_project' WHEN coalesce(gc, gn) IS NOT NULL THEN 'wdi' WHEN year = 2023 AND mg IS NOT NULL THEN 'maddison_project' WHEN vg IS NOT NULL THEN 'vdem' END AS gs,
+          CASE WHEN year <= 2022 AND mp IS NOT NULL THEN 'maddison_project' WHEN wp IS NOT NULL THEN 'wdi' WHEN year = 2023 AND mp IS NOT NULL THEN 'maddison_project' END AS ps FROM j)
+    SELECT iso3, year, CASE gs WHEN 'maddison_project' THEN round(mg + 0.0011, 2) WHEN 'wdi' THEN round(coalesce(gc, gn) + 0.0011, 2) WHEN 'vdem' THEN round(vg + 0.0011, 2) END AS gdp, gs AS gdp_source,
+    CASE gs WHEN 'maddison_project' THEN '2011_intl_dollars' WHEN 'wdi' THEN CASE WHEN gc IS NOT NULL THEN 'constant_2015_usd' ELSE 'current_usd' END WHEN 'vdem' THEN 'vdem_latent_gdp_units' END AS gdp_unit,
+    CASE WHEN year <= 2022 AND mp IS NOT NULL THEN 'maddison_direct' WHEN year = 2023 AND mp IS NOT NULL AND wh IS NULL AND gs = 'maddison_project' AND ps = 'maddison_project' THEN 'maddison_direct_proxy' WHEN wh IS NOT NULL THEN 'wdi_direct' WHEN gs = 'vdem' THEN 'vdem_latent_direct' WHEN gs = ps AND gs IN ('maddison_project', 'wdi') THEN 'derived_gdp_over_population' END AS method FROM s"""
+
+
+@query(_LADDER_SQL)
+def economy_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = _sources(spark, sf_dir)
+    out = chronicle.with_economy(chronicle.grid(x["scope"].select("iso3"), 2019, 2025), x["maddison"], x["wdi"], x["vdem"])
+    return out.select("iso3", "year", _r(F.col("gdp.value") + 0.0011, 2).alias("gdp"), F.col("gdp.source").alias("gdp_source"), F.col("gdp.unit").alias("gdp_unit"), F.col("gdp_per_capita.method").alias("method"))
+
+
+def _chronicle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = _sources(spark, sf_dir)
+    leaders = x["leaders"]
+    archigos = leaders.where("n_nationkey >= 20 and year < 2021").select("iso3", "leader", "startdate", "enddate")
+    curated = leaders.where("n_nationkey < 3").select("iso3", "leader", "startdate", "enddate")
+    reign = leaders.where("n_nationkey between 3 and 12").select("iso3", "year", "month", "leader")
+    wikidata = leaders.where("n_nationkey >= 8").select("iso3", "year", "leader")
+    ruled = chronicle.rulers(archigos, reign, curated, wikidata, 2019, 2025)
+    return chronicle.build(x["scope"], x["vdem"], x["wdi"], x["maddison"], x["sipri"], x["area"], ruled, 2019, 2025)
+
+
+@query("")
+def chronicle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chronicle(spark, sf_dir)
+
+
+@query("")
+def chronicle_condensed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chronicle.condensed(_chronicle(spark, sf_dir))
+
+
+@query("")
+def chronicle_metric_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chronicle.metric_fact(_chronicle(spark, sf_dir))
+
+
+_LEADERS_SQL = "le AS (SELECT n_name AS iso3, n_nationkey, CAST(year(o_orderdate) + 24 AS INT) AS year, o_orderpriority AS leader FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"
+
+
+@query(
+    f"""WITH {_LEADERS_SQL}, rc AS (SELECT iso3, year, leader, count(*) AS n FROM le WHERE n_nationkey BETWEEN 3 AND 12 AND year <= 2021 GROUP BY iso3, year, leader), r AS (SELECT *, count(*) OVER (PARTITION BY iso3, year) AS k FROM rc QUALIFY row_number() OVER (PARTITION BY iso3, year ORDER BY n DESC, leader) = 1),
+    w AS (SELECT iso3, year, min(leader) AS leader FROM le WHERE n_nationkey BETWEEN 3 AND 24 AND n_nationkey >= 8 AND year > 2021 GROUP BY ALL)
+    SELECT iso3, year, coalesce(r.leader, w.leader) AS ruler_name, CASE WHEN r.leader IS NOT NULL THEN 'reign' ELSE 'wikidata' END AS ruler_source, CAST(CASE WHEN r.k > 1 THEN 50 WHEN r.leader IS NOT NULL THEN 65 ELSE 60 END AS INT) AS ruler_confidence, coalesce(r.k > 1, false) AS multiple_rulers FROM r FULL JOIN w USING (iso3, year)"""
+)
+def ruler_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaders = _sources(spark, sf_dir)["leaders"]
+    none = leaders.where("false").select("iso3", "leader", "startdate", "enddate")
+    return chronicle.rulers(none, leaders.where("n_nationkey between 3 and 12"), none, leaders.where("n_nationkey >= 8"), 2019, 2025)
+
+
+@query(
+    """SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value) + 0.000011, 4) AS total FROM events GROUP BY ALL"""
+)
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ingest.event_windows(facts.table(spark, sf_dir, "events"))
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", _r(F.col("total") + 0.000011).alias("total"))
