@@ -20,6 +20,11 @@ from pyspark.sql import types as T
 from statlas.functions import scalars as S
 
 
+#: The signs that the Western code page has where Latin-1 has control characters: those, and what they stand for.
+_OWN = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+WESTERN = ("".join(map(chr, _OWN)), bytes(_OWN).decode("cp1252"))
+
+
 class SourceError(ValueError):
     """A source that lacks a required column, sheet or member."""
 
@@ -35,11 +40,15 @@ def header_of(spark: SparkSession, path: str, sep: str = ",", encoding: str = "U
 
 
 def csv_strings(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", comment: str | None = None) -> DataFrame:
-    """All columns as text; nothing is guessed."""
+    """All columns as text; nothing is guessed. The Western code page is read as Latin-1, its own 27 signs are put in after."""
+    western = encoding == "windows-1252"
+    encoding = "ISO-8859-1" if western else encoding
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("nullValue", None).option("multiLine", False)
     if comment:
         reader = reader.option("comment", comment)
     df = reader.csv(path)
+    if western:
+        df = df.select(*(F.translate(F.col(f"`{c}`"), *WESTERN).alias(c.translate(str.maketrans(*WESTERN))) for c in df.columns))
     return df.toDF(*(c.lstrip("﻿").strip() for c in df.columns))
 
 
