@@ -6,9 +6,10 @@ rest is dealt among its siblings before anything is left over for the node's own
 leaf's budget buys whole epochs first; the rest buys a prefix, in tokens, of the next epoch's order,
 which a hash of seed, epoch and doc_id gives; the document at its end is in if at least half of it fits.
 
-The prefix ends are found with aggregates: tokens by leaf and hash bucket, running sums over the
-buckets, and a running sum over the documents of the one bucket in which a leaf's prefix ends.
-Choosing documents is then a comparison with the leaf's cut, without moving any text.
+The prefix ends are found with aggregates: tokens by leaf and range of turns, running sums over a
+few ranges, again within the one in which the prefix ends, and at last over that range's documents
+(about one in 2**18 of a leaf). Choosing documents is then a comparison with the leaf's cut,
+without moving any text; a leaf that holds a third of all documents is no larger task than others.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from statlas.llm._util import cut, prepare
 
 #: Leaves up to this number are broadcast (about 100 bytes each); more are joined by an exchange.
 BROADCAST_LEAVES = 50_000
-BUCKET_BITS = 12
 HASH_BITS = 60
+#: A prefix's end is narrowed down in LEVELS steps, each over 2**LEVEL_BITS sums a leaf.
+LEVELS, LEVEL_BITS = 3, 6
 LEAF = ["domain", "language", "origin"]
 
 
@@ -97,21 +99,33 @@ def cuts(narrow: DataFrame, mix: Mix) -> DataFrame:
     """(domain, language, origin, epochs, cut): whole epochs of each leaf, and the last turn taken of the next one."""
     leaves = budgets(narrow.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), mix)
     epochs = F.floor(F.col("budget") / F.col("tokens"))
-    leaves = cut(leaves.select(*LEAF, epochs.alias("epochs"), (F.col("budget") - epochs * F.col("tokens")).alias("rest")))
-    docs = narrow.join(_sent(leaves), LEAF).withColumn("turn", turn(F.col("doc_id"), mix.seed, F.col("epochs")))
-    shift = HASH_BITS - BUCKET_BITS
-    docs = docs.withColumn("bucket", F.shiftright("turn", shift))
-    running = Window.partitionBy(*LEAF).orderBy("bucket")
-    sums = docs.groupBy(*LEAF, "rest", "bucket").agg(F.sum("n_tokens").alias("n")).withColumn("upto", F.sum("n").over(running))
-    ends = sums.where("upto > rest").groupBy(*LEAF).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("e"))
-    ends = cut(ends.select(*LEAF, F.col("e.bucket").alias("end"), F.col("e.before").alias("before")))
-    last = docs.join(_sent(ends), LEAF).where(F.col("bucket") == F.col("end"))
+    rest = F.col("budget") - epochs * F.col("tokens")
+    # low: where the range of turns starts in which the prefix ends; before: the tokens below it
+    leaves = cut(leaves.select(*LEAF, epochs.alias("epochs"), rest.alias("rest"), F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("before")))
+    width = HASH_BITS
+    for _ in range(LEVELS):
+        leaves, width = cut(_narrowed(narrow, leaves, mix, width)), width - LEVEL_BITS
+    last = _in_range(narrow, leaves, mix, width)
     peers = last.groupBy(*LEAF, "rest", "before", "turn").agg(F.sum("n_tokens").alias("n"))
     upto = F.col("before") + F.sum("n").over(Window.partitionBy(*LEAF).orderBy("turn"))
     inside = peers.withColumn("upto", upto).where("2 * upto - n <= 2 * rest").groupBy(*LEAF).agg(F.max("turn").alias("last"))
-    found = leaves.join(ends, LEAF, "left").join(inside, LEAF, "left")
-    below = F.shiftleft("end", shift) - 1
-    return found.select(*LEAF, "epochs", F.coalesce("last", below, F.lit(-1)).alias("cut"))
+    return leaves.join(inside, LEAF, "left").select(*LEAF, "epochs", F.coalesce("last", F.col("low") - 1).alias("cut"))
+
+
+def _in_range(narrow: DataFrame, leaves: DataFrame, mix: Mix, width: int) -> DataFrame:
+    """The documents whose turn is in their leaf's range of 2**width turns."""
+    docs = narrow.join(_sent(leaves), LEAF).withColumn("turn", turn(F.col("doc_id"), mix.seed, F.col("epochs")))
+    return docs.where(F.shiftright("turn", width) == F.shiftright("low", width))
+
+
+def _narrowed(narrow: DataFrame, leaves: DataFrame, mix: Mix, width: int) -> DataFrame:
+    """leaves with the part of their range, one of 2**LEVEL_BITS, in which the running sum of tokens passes rest."""
+    shift = width - LEVEL_BITS
+    sums = _in_range(narrow, leaves, mix, width).groupBy(*LEAF, "rest", "before", F.shiftright("turn", shift).alias("part")).agg(F.sum("n_tokens").alias("n"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*LEAF).orderBy("part"))
+    ends = sums.withColumn("upto", upto).where("upto > rest").groupBy(*LEAF).agg(F.min("part").alias("part"), F.min(F.col("upto") - F.col("n")).alias("sum"))
+    found = leaves.drop("low", "before").join(ends, LEAF)
+    return found.select(*LEAF, "epochs", "rest", F.shiftleft("part", shift).alias("low"), F.col("sum").alias("before"))
 
 
 def _sent(leaves: DataFrame) -> DataFrame:
