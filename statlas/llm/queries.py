@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from statlas.llm import decontam, htmltext, langid, media, mixing, pii, simhash, substring, urlfilter, warc
 from statlas.llm._util import scratch, table
+from statlas.llm.oracles import ORACLE_SQL
+
+__all__ = ["MIX", "ORACLE_SQL", "QUERIES", "RULES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,5 +106,3 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_urls": op10_urls,
 }
-
-ORACLE_SQL: dict[str, str] = {}
