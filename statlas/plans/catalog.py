@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from statlas.functions import scalars as S
 from statlas.operators import concepts, evidence, growth, intervals, joins, reshape, scoring, series
-from statlas.plans import chronicle, facts
+from statlas.plans import categories, chronicle, facts, slices
 from statlas.plans.query import execute
 from statlas.plans.spec import Filter, Query, Transform, from_payload
+from statlas.sources import adapters
 from statlas.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -677,3 +678,146 @@ def ruler_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ingest.event_windows(facts.table(spark, sf_dir, "events"))
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", _r(F.col("total") + 0.000011).alias("total"))
+
+
+# Smaller operators
+
+
+@query("SELECT event_type AS source_id, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT user_id) AS BIGINT) AS n_users, array_to_string(list_sort(list(DISTINCT CAST(user_id % 5 AS VARCHAR))), '|') AS used FROM events GROUP BY event_type")
+def rows_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = facts.table(spark, sf_dir, "events")
+    used = F.array_join(F.array_sort(F.collect_set((F.col("user_id") % 5).cast("string"))), "|")
+    return events.groupBy(F.col("event_type").alias("source_id")).agg(F.count("*").alias("n_rows"), F.count_distinct("user_id").alias("n_users"), used.alias("used"))
+
+
+@query("SELECT o_custkey AS iso3, CAST(min(year(o_orderdate)) AS INT) AS start_year, CAST(max(year(o_orderdate)) AS INT) AS end_year, arg_min(o_orderpriority, (o_orderdate, o_orderkey)) AS name FROM orders GROUP BY o_custkey")
+def coverage_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = facts.table(spark, sf_dir, "orders")
+    first = F.min_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey"))
+    return orders.groupBy(F.col("o_custkey").alias("iso3")).agg(F.min(F.year("o_orderdate")).alias("start_year"), F.max(F.year("o_orderdate")).alias("end_year"), first.alias("name"))
+
+
+@query("WITH n AS (SELECT l_orderkey, max(l_returnflag) AS name FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey) SELECT l_orderkey, l_linenumber, name FROM lineitem LEFT JOIN n USING (l_orderkey)")
+def self_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = facts.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    names = lines.where("l_returnflag <> 'N'").groupBy("l_orderkey").agg(F.max("l_returnflag").alias("name"))
+    return lines.join(names, "l_orderkey", "left").select("l_orderkey", "l_linenumber", "name")
+
+
+@query("SELECT c_custkey, CASE c_nationkey WHEN 2 THEN 'USA' WHEN 5 THEN 'FRA' WHEN 7 THEN 'IND' END AS iso3 FROM customer WHERE c_nationkey IN (2, 5, 7)")
+def code_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = facts.table(spark, sf_dir, "customer").select("c_custkey", S.mapped(F.col("c_nationkey"), {2: "USA", 5: "FRA", 7: "IND"}).alias("iso3"))
+    return mapped.where("iso3 is not null")
+
+
+@query(
+    """WITH p AS (SELECT o_custkey AS code, CAST(min(year(o_orderdate)) AS INT) AS a, CAST(max(year(o_orderdate)) AS INT) AS b FROM orders GROUP BY ALL), m(code, target, f, l) AS (SELECT c_custkey, 'old', 1900, 1997 FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'new', 1997, NULL FROM customer WHERE c_custkey % 3 = 0)
+    SELECT code, a, b, target, greatest(a, f) AS from_year, CASE WHEN l IS NULL THEN b ELSE least(b, l) END AS to_year FROM p JOIN m USING (code) WHERE a <= coalesce(l, 9999) AND b >= f"""
+)
+def split_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    periods = facts.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("code")).agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b"))
+    customers = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("code"))
+    old = customers.where("code % 2 = 0").select("code", F.lit("old").alias("target"), F.lit(1900).alias("first_year"), F.lit(1997).alias("last_year"))
+    new = customers.where("code % 3 = 0").select("code", F.lit("new").alias("target"), F.lit(1997).alias("first_year"), F.lit(None).cast("int").alias("last_year"))
+    return intervals.split_by_period(periods, old.unionByName(new), "code", "a", "b")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN substr(c_mktsegment, 1, 3) END AS iso3 FROM customer")
+def reference_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prefix = F.when(F.col("c_custkey") % 3 != 0, "wdi").otherwise("other")
+    rows = facts.table(spark, sf_dir, "customer").select("c_custkey", F.concat_ws(":", prefix, F.lower(F.substring("c_mktsegment", 1, 3)), F.lit("2020")).alias("source_row_reference"))
+    return adapters.link_by_reference(rows, ["wdi"]).select("c_custkey", "iso3")
+
+
+_REGIME_SQL = """r AS (SELECT p_partkey, CAST(2020 + p_partkey % 8 AS INT) AS year, CASE WHEN p_size % 6 < 4 THEN p_size % 6 END AS g, CASE WHEN p_partkey % 7 <> 0 THEN p_size / 50.0 END AS s, p_partkey % 3 AS c FROM part),
+    b AS (SELECT *, CASE g WHEN 0 THEN 'Authoritarian' WHEN 1 THEN 'Hybrid regime' WHEN 2 THEN 'Flawed democracy' WHEN 3 THEN 'Full democracy' ELSE CASE WHEN s >= 0.7 THEN 'Full democracy' WHEN s >= 0.5 THEN 'Flawed democracy' WHEN s >= 0.3 THEN 'Hybrid regime' WHEN s IS NOT NULL THEN 'Authoritarian' ELSE 'Unknown' END END AS bucket FROM r)"""
+
+
+def _regimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = facts.table(spark, sf_dir, "part")
+    rows = part.select("p_partkey", F.col("p_partkey").cast("string").alias("iso3"), (F.lit(2020) + F.col("p_partkey") % 8).cast("int").alias("year"))
+    size = F.col("p_size") % 6
+    source = part.select(F.col("p_partkey").cast("string").alias("iso3"), F.least(F.lit(2020) + F.col("p_partkey") % 8, F.lit(2025)).cast("int").alias("year"), F.when(size < 4, size).cast("double").alias("v2x_regime"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_size") / 50.0).alias("v2x_polyarchy"))
+    return chronicle.with_regime(rows, source)
+
+
+@query(f"WITH {_REGIME_SQL} SELECT p_partkey, bucket AS political_regime, CAST(CASE WHEN year > 2025 THEN 60 WHEN g IS NOT NULL THEN 80 WHEN s IS NOT NULL THEN 70 ELSE 50 END AS INT) AS regime_confidence FROM b")
+def regime_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _regimes(spark, sf_dir).select("p_partkey", "political_regime", "regime_confidence")
+
+
+@query(
+    f"""WITH {_REGIME_SQL} SELECT p_partkey, CASE WHEN c = 0 AND year BETWEEN 2020 AND 2023 THEN 'Curated' WHEN bucket IN ('Full democracy', 'Flawed democracy') THEN 'Liberal capitalist democracy' WHEN bucket = 'Unknown' THEN 'Unknown' ELSE 'Mixed / unclear' END AS system_type,
+    CAST(CASE WHEN c = 0 AND year BETWEEN 2020 AND 2023 THEN 70 WHEN bucket = 'Unknown' THEN 30 ELSE 40 END AS INT) AS system_confidence FROM b"""
+)
+def system_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _regimes(spark, sf_dir).withColumn("iso3", F.when(F.col("p_partkey") % 3 == 0, "AAA").otherwise("BBB"))
+    return chronicle.with_system(rows, (("AAA", 2020, 2023, "Curated"),)).select("p_partkey", "system_type", "system_confidence")
+
+
+@query("WITH s AS (SELECT n_nationkey, CASE WHEN n_nationkey % 5 <> 0 THEN 1995 + n_nationkey % 4 END AS a, 1999 + n_nationkey % 3 AS b FROM nation), y AS (SELECT CAST(unnest(range(1995, 2002)) AS INT) AS year) SELECT n_nationkey, year, CASE WHEN a IS NULL THEN 'unknown' WHEN year < a THEN 'not_formed' WHEN year > b THEN 'split_or_dissolved' ELSE 'exists' END AS status FROM s CROSS JOIN y")
+def existence_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("n_nationkey")
+    rows = chronicle.grid(facts.table(spark, sf_dir, "nation").select("n_nationkey"), 1995, 2001)
+    return rows.select("n_nationkey", "year", chronicle.existence_status(F.when(key % 5 != 0, 1995 + key % 4), 1999 + key % 3, F.col("year")).alias("status"))
+
+
+@query("WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders) SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), '|' ORDER BY k) AS evidence FROM o WHERE k <= 3 GROUP BY o_custkey")
+def capped_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    top = facts.table(spark, sf_dir, "orders").withColumn("_k", F.row_number().over(w)).where("_k <= 3")
+    items = F.array_sort(F.collect_list(F.struct("_k", F.col("o_orderkey").cast("string").alias("v"))))
+    return top.groupBy("o_custkey").agg(F.array_join(F.transform(items, lambda x: x["v"]), "|").alias("evidence"))
+
+
+@query(
+    """WITH e AS (SELECT CAST(user_id % 40 AS DOUBLE) AS country_id, CAST(year(ts) * 100 + month(ts) AS DOUBLE) AS year, CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 END AS k, CASE WHEN event_id % 4 <> 0 THEN CAST(value AS DECIMAL(18, 2)) END AS best, CASE WHEN event_id % 3 = 0 THEN 1 END AS g FROM events),
+    a AS (SELECT country_id, year, count(*) FILTER (k = 1) AS n1, sum(best) FILTER (k = 1) AS f1, count(*) FILTER (k = 1 AND g IS NOT NULL) AS n2, sum(best) FILTER (k = 1 AND g IS NOT NULL) AS f2, count(*) FILTER (k = 3) AS n3, sum(best) FILTER (k = 3) AS f3 FROM e GROUP BY ALL)
+    SELECT c.country_id, y.year, CAST(coalesce(n1, 0) AS BIGINT) AS state_events, round(CAST(coalesce(f1, 0) AS DOUBLE), 2) AS state_fatalities, CAST(coalesce(n2, 0) AS BIGINT) AS intl_events, round(CAST(coalesce(f2, 0) AS DOUBLE), 2) AS intl_fatalities, CAST(coalesce(n3, 0) AS BIGINT) AS onesided_events, round(CAST(coalesce(f3, 0) AS DOUBLE), 2) AS onesided_fatalities
+    FROM (SELECT DISTINCT country_id FROM a) c CROSS JOIN (SELECT DISTINCT year FROM a) y LEFT JOIN a ON a.country_id = c.country_id AND a.year = y.year"""
+)
+def conflict_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "click", 1.0).when(F.col("event_type") == "view", 2.0).when(F.col("event_type") == "purchase", 3.0)
+    events = facts.table(spark, sf_dir, "events").select((F.col("user_id") % 40).cast("double").alias("country_id"), (F.year("ts") * 100 + F.month("ts")).cast("double").alias("year"), kind.alias("type_of_violence"), F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("best"), F.when(F.col("event_id") % 3 == 0, F.lit(1.0)).alias("gwnob"))
+    out = adapters.aggregate_conflict_events(events)
+    named = {f"ucdp_{a}_{m}": f"{b}_{m}" for a, b in (("state_based", "state"), ("intl", "intl"), ("onesided", "onesided")) for m in ("events", "fatalities")}
+    return out.select("country_id", "year", *((_r(k, 2) if k.endswith("fatalities") else F.col(k)).alias(v) for k, v in named.items()))
+
+
+@query(
+    """WITH r AS (SELECT n_nationkey, (n_nationkey * 37 % 101) / 100.0 AS hdi, (n_nationkey * 53 % 61) / 10.0 - 3 AS z, CAST(n_nationkey % 11 AS INT) AS client FROM nation),
+    s AS (SELECT n_nationkey, 'social' AS category, CASE WHEN n_nationkey % 4 <> 0 THEN CAST(round_even(least(1, greatest(0, hdi)) * 10, 0) AS INT) END AS score, n_nationkey % 3 = 0 AS proxy, client FROM r
+          UNION ALL SELECT n_nationkey, 'integrity', CASE WHEN n_nationkey % 5 <> 0 THEN CAST(round_even(round(least(1, greatest(0, (z + 2.5) / 5)) * 10, 9), 0) AS INT) END, false, client FROM r),
+    c AS (SELECT *, score IS NOT NULL AND proxy AS is_proxy, CASE WHEN score IS NULL THEN 0 WHEN proxy THEN 84 ELSE 88 END AS confidence FROM s)
+    SELECT n_nationkey, category, score, is_proxy, CAST(confidence AS INT) AS confidence, CASE WHEN score IS NULL THEN 'missing' WHEN abs(score - client) <= 1 THEN 'match' WHEN abs(score - client) > 2 THEN 'high_delta' ELSE 'conflict' END AS status FROM c"""
+)
+def vertical_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("n_nationkey")
+    nations = facts.table(spark, sf_dir, "nation").select("n_nationkey", key.alias("iso3"))
+    hdi = nations.where(key % 4 != 0).select("iso3", F.when(key % 3 == 0, 2022).otherwise(2023).alias("year"), F.lit("hdi").alias("variable_name"), (key * 37 % 101 / 100.0).alias("value"))
+    z = nations.where(key % 5 != 0).select("iso3", F.lit(2023).alias("year"), F.lit("control_of_corruption").alias("variable_name"), (key * 53 % 61 / 10.0 - 3).alias("value"))
+    client = nations.select("iso3", F.explode(F.array(F.lit("social"), F.lit("integrity"))).alias("category"), (key % 11).cast("int").alias("client_score"))
+    out = slices.comparison(slices.scores(nations, hdi.unionByName(z), 2023, 2022), client)
+    return out.select(F.col("iso3").alias("n_nationkey"), "category", "score", "is_proxy", "confidence", "status")
+
+
+_PLAN_VALUES = ", ".join("(" + ", ".join(f"'{x}'" for x in line.split()) + ")" for line in categories.PLAN.splitlines())
+_WEIGHT_VALUES = ", ".join(f"('{c}', '{g}', {w})" for c, (_, _, groups) in categories.CATEGORIES.items() for g, w in groups.items())
+_LEAST_VALUES = ", ".join(f"('{c}', {k}, {max(years)})" for c, (k, years, _) in categories.CATEGORIES.items())
+
+
+@query(
+    f"""WITH p(category, v, role, direction, src, grp) AS (VALUES {_PLAN_VALUES}), wt(category, grp, w) AS (VALUES {_WEIGHT_VALUES}), k(category, least_n, reach) AS (VALUES {_LEAST_VALUES}),
+    u AS (SELECT DISTINCT v, src FROM p), o AS (SELECT c_custkey AS id, v, src, CAST(2020 + (c_custkey * 7 + length(v)) % 5 AS INT) AS year, ((c_custkey * 13 + length(v) * 29) % 101) / 100.0 AS x FROM customer CROSS JOIN u WHERE (c_custkey + length(v) * 3 + ascii(v)) % 3 <> 0),
+    b AS (SELECT o.id, p.category, p.v, p.role, p.src, p.grp, o.x, o.year FROM o JOIN p ON p.v = o.v AND p.src = o.src JOIN k ON k.category = p.category WHERE abs(o.year - 2023) <= reach),
+    g AS (SELECT id, category, grp, avg(x) AS m FROM b GROUP BY ALL), t AS (SELECT id, category, sum(w * m) AS score FROM g JOIN wt USING (category, grp) GROUP BY ALL), n AS (SELECT id, category, count(DISTINCT src) AS n_sources, count(DISTINCT v) AS n_observed FROM b GROUP BY ALL)
+    SELECT c_custkey AS country_iso3, k.category, round(CASE WHEN n_sources >= least_n THEN least(1, greatest(0, score)) END, 6) AS normalized_score, CASE WHEN n_sources >= least_n THEN 'scored' ELSE 'insufficient_data' END AS status, CAST(coalesce(n_observed, 0) AS BIGINT) AS n_observed
+    FROM customer CROSS JOIN k LEFT JOIN n ON n.id = c_custkey AND n.category = k.category LEFT JOIN t ON t.id = c_custkey AND t.category = k.category"""
+)
+def category_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("country_iso3"))
+    variables = categories.plan(spark).select("variable_name", F.col("owning_source").alias("source_id")).distinct()
+    size, key = F.length("variable_name"), F.col("country_iso3")
+    obs = customers.crossJoin(F.broadcast(variables)).where((key + size * 3 + F.ascii("variable_name")) % 3 != 0)
+    obs = obs.select("country_iso3", (2020 + (key * 7 + size) % 5).cast("int").alias("year"), "source_id", F.lit(0).alias("observation_id"), "variable_name", ((key * 13 + size * 29) % 101 / 100.0).alias("normalized_value"))
+    return categories.score_all(obs, customers, 2023).select("country_iso3", "category", _r("normalized_score", 6).alias("normalized_score"), "status", "n_observed")
