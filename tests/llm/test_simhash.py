@@ -64,15 +64,18 @@ def test_near_duplicates_against_all_pairs(spark):
 
 
 def test_long_runs_lose_no_link():
-    """A family of fingerprints around one centre, more than a short run holds."""
+    """Families of fingerprints that share a half, more of them than a short run holds."""
     r = random.Random(3)
-    centre = r.getrandbits(64)
-    fps = {centre}
-    while len(fps) < 400:
-        x = r.choice(sorted(fps))
-        for _ in range(r.choice([1, 2, 3])):
-            x ^= 1 << r.randrange(64)
-        fps.add(x)
+    fps = set()
+    for low in (0, 32):
+        centre = r.getrandbits(64)
+        while len(fps) < 300 * (1 + low // 32):
+            x = centre
+            for _ in range(r.randrange(9)):
+                x ^= 1 << (low + r.randrange(32))
+            if r.random() < 0.2:
+                x ^= 1 << r.randrange(64)
+            fps.add(x)
     fps = np.array(sorted(fps), np.uint64)
     keys = simhash.variants(fps).view(np.int64)
     rows = sorted((int(k), int(f)) for f, ks in zip(fps, keys, strict=True) for k in ks)
