@@ -25,14 +25,17 @@ from statlas.llm._util import prepare
 #: Elements without an end tag, elements whose content is not markup, elements that are never content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = "script|style|textarea|title|noscript|template|iframe|noembed|noframes|xmp|svg|math"
-NEVER = frozenset("head nav footer header aside form button select option label dialog menu noscript template iframe object audio video canvas figure".split())
+NEVER = frozenset("head nav footer header aside form button select option label dialog menu noscript template iframe object audio video canvas".split())
 #: Elements that end a run of text.
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 #: Start tags before which an open p ends.
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: Words in class, id or role of what is not content.
-ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social|sidebar|side-?bar|related|recommend\w*|comments?|disqus|replies|responses|nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|header|pagination|pager|tags|widget|complementary|contentinfo|search|login|signup)(?=$|[\s_-])", re.I)
+ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social|sidebar|side-?bar|related|recommend\w*|comments?|commentlist|discussion|disqus|replies|responses|adsbygoogle|nav|navbar|navigation|menu|breadcrumbs?|footer|masthead|header|pagination|pager|tags|widget|complementary|contentinfo|search|login|signup)(?=$|[\s_-])", re.I)
 MAIN = frozenset(["article", "main"])
+#: Class words of an article element that is a reader's comment, and attributes of what is not shown.
+REPLY = re.compile(r"(?:^|[\s\"'])(?:comments?|comment-(?:body|item|content)|reply|replies|responses?)(?=[\s\"']|$)", re.I)
+HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|style\s*=\s*[\"'][^\"']*display\s*:\s*none", re.I)
 PUNCTUATION = re.compile("[.,;:!?\"'()…。，、；：！？؟،۔।]")
 
 TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)""", re.S | re.I)
@@ -94,8 +97,9 @@ def text_nodes(page: str) -> list[Node]:
         aside = name in NEVER
         if not aside and m["attrs"]:
             aside = any(ASIDE.search(v) for a in ATTRIBUTE.finditer(m["attrs"]) for v in a.groups() if v)
-        if aside and name in ("html", "body", *MAIN):
-            aside = name in MAIN and bool(re.search("comment|repl|sidebar", m["attrs"], re.I))
+            if aside and name in ("html", "body", *MAIN):
+                aside = name in MAIN and any(REPLY.search(v) for a in ATTRIBUTE.finditer(m["attrs"]) for v in a.groups() if v)
+            aside = aside or bool(HIDDEN.search(m["attrs"]))
         tags.append(name)
         never.append(aside)
     if last < len(page):
@@ -153,13 +157,28 @@ def container(nodes: list[Node], chosen: set[tuple[str, ...]]) -> tuple[str, ...
     return best
 
 
+def with_headline(nodes: list[Node], root: tuple[str, ...]) -> tuple[str, ...]:
+    """root, or the ancestor that it shares with a top heading outside, if that adds little other text."""
+    inside = lambda path: path[: len(root)] == root
+    held = sum(len(n.text) for n in nodes if inside(n.path))
+    for n in nodes:
+        if "h1" in n.path:
+            if inside(n.path):
+                return root
+            shared = next((i for i, (a, b) in enumerate(zip(root, n.path, strict=False)) if a != b), min(len(root), len(n.path)))
+            wider = root[:shared]
+            added = sum(len(x.text) for x in nodes if x.path[:shared] == wider) - held
+            return wider if shared and added <= 0.25 * held + len(n.text) else root
+    return root
+
+
 def main_text(page: str) -> str:
     """The main text of a page; empty if it has none."""
     nodes = text_nodes(page)
     body = [n for n in nodes if not n.never]
     if not body:
         return ""
-    root = container(body, content_paths(body))
+    root = with_headline(body, container(body, content_paths(body)))
     parts: list[list[str]] = []
     block = None
     for n in body:

@@ -109,6 +109,10 @@ def test_main_text():
     assert htmltext.main_text(PAGE) == "A title First paragraph, with bold text & more. Second <one>. After a break."
     plain = PAGE.replace("<article>", "<div id=c>").replace("</article>", "</div>")
     assert htmltext.main_text(plain) == "A title First paragraph, with bold text & more. Second <one>. After a break."
+    parts = "<body><div id=c><h1>Head line</h1><div class=txt><p>One, two.</p><figure><figcaption>Three.</figcaption></figure><p>Four, five, six.</p></div></div><div hidden>No.</div><footer>f</footer></body>"
+    assert htmltext.main_text(parts) == "Head line One, two. Three. Four, five, six."
+    open_comments = '<article class="post comments-open"><p>Text, text.</p><article class="comment"><p>Reply, indeed.</p></article></article>'
+    assert htmltext.main_text(open_comments) == "Text, text."
     for broken in ("", "<", "<p", "<!-- x", "<script>a", "<p></p>", "</div></p>"):
         assert htmltext.main_text(broken) in ("", "<")
     assert htmltext.main_text("just words") == "just words"
