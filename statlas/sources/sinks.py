@@ -63,6 +63,18 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], comments: Sequen
     return n
 
 
+def score_rows(scores: DataFrame) -> DataFrame:
+    """Scores as text cells: NA where there is no score, four decimals, flags joined by |; by country and category."""
+    shown = F.when(F.col("score_1_10").isNull(), "NA").otherwise(F.col("score_1_10").cast("string"))
+    exact = F.when(F.col("normalized_score").isNull(), "NA").otherwise(F.format_number("normalized_score", 4))
+    return scores.withColumns({"score_1_10": shown, "normalized_score": exact}).orderBy("country_iso3", "category")
+
+
+def write_scores(scores: DataFrame, path: str, attribution: Sequence[str] = ()) -> int:
+    df = score_rows(scores)
+    return write_csv(df, path, df.columns, attribution)
+
+
 def attribution_lines(used: DataFrame, texts: Mapping[str, str]) -> list[str]:
     """Attribution of each used source (one column of names), sorted."""
     names = sorted(r[0] for r in used.distinct().collect() if r[0] is not None)

@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from statlas.sources import readers, sinks
+from statlas.sources import cache, readers, sinks
 from statlas.sources.registry import NotReady, Registry, Source, long_transform
 from statlas.streaming import ingest
 
@@ -164,3 +164,31 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame([("s", 2020, 1)], "source_id string, year int, v int").write.parquet(str(tmp_path / "drop"))
     ingest.ingest_folder(spark, str(tmp_path / "drop"), "source_id string, year int, v int", str(tmp_path / "target"), str(tmp_path / "state")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "target")).count() == 1
+
+
+def test_cache_and_config(tmp_path):
+    calls = []
+
+    def fetch():
+        calls.append(1)
+        if len(calls) == 1:
+            raise ConnectionError
+        return '{"a": 1}'
+
+    path = str(tmp_path / "x" / "c.json")
+    assert cache.cached_json(path, fetch, wait=0) == {"a": 1} and len(calls) == 2
+    assert cache.cached_json(path, fetch) == {"a": 1} and len(calls) == 2
+    (tmp_path / "x" / "c.json").write_text("{broken")
+    assert cache.cached_json(path, fetch) == {"a": 1} and len(calls) == 3
+    assert cache.cached_json(path, fetch, force=True) == {"a": 1} and len(calls) == 4
+    (tmp_path / "r.json").write_text('{"lake": "l", "output": "o", "years": [2020]}')
+    assert cache.load_config(str(tmp_path / "r.json")).years == (2020,)
+    (tmp_path / "r.json").write_text('{"lake": "l", "output": "o", "x": 1}')
+    with pytest.raises(ValueError, match="unknown"):
+        cache.load_config(str(tmp_path / "r.json"))
+
+
+def test_score_rows(spark, tmp_path):
+    scores = spark.createDataFrame([("B", "c", None, None, "insufficient_data"), ("A", "c", 0.123456, 2, "")], "country_iso3 string, category string, normalized_score double, score_1_10 int, flags string")
+    sinks.write_scores(scores, str(tmp_path / "s.csv"), ["source: text"])
+    assert (tmp_path / "s.csv").read_text().splitlines() == ["# source: text", "country_iso3,category,normalized_score,score_1_10,flags", "A,c,0.1235,2,", "B,c,NA,NA,insufficient_data"]
