@@ -77,9 +77,18 @@ ruled AS (SELECT page_id, host, path, host || path || search AS u, verdict, rhos
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host <> '' AND u IN (SELECT u FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled
 """
 
+_ARCHIVES = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS holder FROM p)
+SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((('0x' || substr(h, CAST(i // 4 * 5 + 1 AS BIGINT), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM r
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": _CONTAINMENT,
     "op2_substring": _PASSAGES,
+    "op4_warc": _ARCHIVES,
     "op9_mixing": _MIXING,
     "op10_urls": _URLS,
 }
