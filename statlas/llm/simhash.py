@@ -167,13 +167,30 @@ def near_duplicates(docs: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """docs with one document of each group of near-duplicates: that with the smallest doc_id.
+def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with one row of each group; found: (doc_id, hash, c) per row of docs, its group c following from the text's hash.
 
-    Of rows that share the doc_id of a kept document one stays. Documents without a doc_id stay if no other is in their group.
+    The row with the smallest doc_id stays, a null doc_id counting as larger than all others. A row goes only for
+    its own text's group, so rows that share a doc_id or have none are separate documents.
     """
-    found = components(cut(fingerprints(docs, k, seed)))
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    rows = found.groupBy("c", "doc_id", "hash").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "hash")
+    first = rows.groupBy("c").agg(F.min(order).alias("first"), F.sum("n").alias("total")).where("total > 1").drop("total")
+    marks = rows.join(first, "c").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), order.eqNullSafe(F.col("first")).alias("stays"), "n")
+    marks = cut(marks.where("not stays or n > 1"))
+    this = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    kept = docs.join(marks, this, "left_anti")
+    again = marks.where("stays").select("_id", "_hash")
+    if again.limit(1).count():
+        kept = kept.unionByName(docs.join(again, this).dropDuplicates(["_id", "_hash"]).select(*docs.columns))
+    return kept
+
+
+def one_of_each(docs: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
+    """docs with one row of each group of near-duplicates, chosen as keep_one() does."""
+    rows = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    fps = cut(fingerprints(rows, k, seed).withColumnRenamed("doc_id", "hash").distinct())
+    groups = components(fps.select(F.col("fp").alias("doc_id"), "fp")).select("fp", F.col("component_id").alias("c")).distinct()
+    of = fps.join(groups, "fp").select("hash", "c")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"))
+    return keep_one(docs, ids.join(of, "hash"))
