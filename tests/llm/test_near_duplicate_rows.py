@@ -1,8 +1,15 @@
-"""Near-duplicates are judged by row, not by doc_id."""
+"""Near-duplicates are judged by row, not by doc_id, and the pipeline finds all of 5-word similarity 0.8."""
 
 from __future__ import annotations
 
-from statlas.llm import simhash
+import random
+
+import pytest
+
+import corpus_pipeline
+from statlas.llm import minhash, simhash
+
+DATA = "/root/testdata/sf0.01"
 
 ROWS = [
     (None, "a b c d"),  # a copy of 3's text: goes
@@ -22,6 +29,50 @@ def in_order(rows) -> list[tuple]:
     return sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def test_rows_go_only_for_their_own_text(spark):
+@pytest.mark.parametrize("operator", [simhash, minhash])
+def test_rows_go_only_for_their_own_text(spark, operator):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(3)
-    assert in_order(simhash.one_of_each(docs).collect()) == KEPT
+    assert in_order(operator.one_of_each(docs).collect()) == KEPT
+
+
+def shingles(text: str | None) -> frozenset:
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def kept(rows: list[tuple]) -> list[int]:
+    """Documents left by comparing all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if min(len(x), len(sets[j])) >= 0.8 * max(len(x), len(sets[j])) and root[i] != root[j]:
+                if len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                    old, new = max(root[i], root[j]), min(root[i], root[j])
+                    root = [new if r == old else r for r in root]
+    least = {}
+    for (doc_id, _), r in zip(rows, root, strict=True):
+        least[r] = min(least.get(r, doc_id), doc_id)
+    return sorted(least.values())
+
+
+def test_stage_finds_scattered_edits(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    wanted = kept([(r.doc_id, r.text) for r in docs.collect()])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect()) == wanted
+
+
+def test_long_runs_lose_no_pair(spark, monkeypatch):
+    """Families around texts of their own, more of them than a short run holds, partly similar to each other."""
+    monkeypatch.setattr(minhash, "SHORT_RUN", 3)
+    r = random.Random(5)
+    core = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        words = list(core)
+        for _ in range(r.choice([1, 2, 4, 8])):
+            words[r.randrange(150)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(x.doc_id for x in minhash.one_of_each(docs).collect()) == kept(rows)
+    assert 1 < len(kept(rows)) < 60
