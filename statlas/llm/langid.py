@@ -105,19 +105,20 @@ def has_letter(text: Column) -> Column:
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model | None:
     """A model from labelled (text, lang); null langs and texts without a letter are left out. None if nothing is left.
 
-    At most per_language texts of each language are used, those with the smallest hash of their text; more
+    At most per_language different texts of each language are used, those with the smallest hash of their text; more
     than max_languages languages are an error.
     """
     prepare(labelled.sparkSession)
     known = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select(F.col("lang").alias("label"), "text", F.xxhash64(F.lit("fit"), "text").alias("turn"))
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(max_languages + 1).collect()}
+    # copies of a text share its hash and count once, so that they neither fill the sample nor thin it out
+    counts = {r["label"]: r["n"] for r in known.select("label", "turn").distinct().groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(max_languages + 1).collect()}
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     if not counts:
         return None
     # a share of the hash space that holds about twice the wanted texts, then at most per_language of them
     limit = F.coalesce(*(F.when(F.col("label") == lang, F.lit(int((1 << 63) * min(1.0, 2 * per_language / n)) - 1 if n > 2 * per_language else (1 << 63) - 1)) for lang, n in counts.items()))
-    drawn = known.where(F.col("turn").bitwiseAND(F.lit((1 << 63) - 1)) <= limit)
+    drawn = known.where(F.col("turn").bitwiseAND(F.lit((1 << 63) - 1)) <= limit).dropDuplicates(["label", "turn"])
     rows: dict[str, list[tuple[int, bytes]]] = {lang: [] for lang in counts}
     for r in drawn.mapInArrow(_packed, "label string, bits binary, turn long").collect():
         rows[r["label"]].append((r["turn"], bytes(r["bits"])))
