@@ -20,7 +20,11 @@ MIN_SCORE = 0.6
 
 @dataclass(frozen=True)
 class Detector:
-    """kind; pattern; a cheap test that a text may hold a match; validator of a match; score without and with context words."""
+    """kind; pattern; a cheap test that a text may hold a match; score without and with context words.
+
+    If whole is given, pattern matches only the head of a span: whole is the longest run from there on, and the
+    longest part of it that ends at a space or at its end and is valid is the span.
+    """
 
     kind: str
     pattern: str
@@ -28,6 +32,7 @@ class Detector:
     score: float
     with_context: float = 1.0
     context: str = ""
+    whole: str = ""
 
 
 EMAIL, IP, CARD, PHONE, IBAN, SSN, LOCAL = "email", "ip", "card", "phone", "iban", "ssn", "local_phone"
@@ -37,7 +42,7 @@ DETECTORS = (
     Detector(IP, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.7, 0.9, r"\bip\b|address|host|server"),
     Detector(CARD, r"[0-9](?:[ -]?[0-9])++", "", 0.8, 1.0, r"card|credit|visa|tarjeta|karte|carte"),
     Detector(PHONE, r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.7, 1.0, r"phone|tel|call|mobile|fax"),
-    Detector(IBAN, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", "", 0.9, 1.0, r"iban|account|konto|cuenta|compte"),
+    Detector(IBAN, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})", "", 0.9, 1.0, r"iban|account|konto|cuenta|compte", r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
     Detector(SSN, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.4, 0.9, r"\bssn\b|social security"),
     Detector(LOCAL, r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", "", 0.4, 0.8, r"phone|tel\b|call|mobile|fax"),
 )
@@ -45,6 +50,8 @@ DETECTORS = (
 #: Kinds in the order that breaks ties of equal starts; the first four are the base.
 KINDS = tuple(d.kind for d in DETECTORS)
 BASE = KINDS[:4]
+#: Characters of a run that are looked at: 34 with a space before each, and what follows.
+RUN = 70
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
@@ -76,6 +83,13 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _longest(kind: str, run: Column) -> Column:
+    """The longest valid part of a run that starts with it and ends at a space or at its end; null if none is valid."""
+    words = F.split(run, " ")
+    parts = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, 1, n), " "))
+    return F.get(F.filter(parts, lambda part: _valid(kind, part)), F.lit(0))
+
+
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double,text:string>>"
 
 
@@ -91,6 +105,13 @@ def _proposed(text: Column, d: Detector) -> Column:
         score = F.when(before.rlike(d.context), F.lit(d.with_context)).otherwise(F.lit(d.score))
         span = F.struct(start(acc, x).alias("start"), F.lit(KINDS.index(d.kind)).alias("rank"), end.alias("end"), F.lit(d.kind).alias("kind"), score.alias("score"), x["match"].alias("text"))
         keep = x["match"].isNotNull() & _valid(d.kind, x["match"]) & (score >= MIN_SCORE)
+        if d.whole:
+            match = _longest(d.kind, F.regexp_extract(F.substr(text, start(acc, x) + 1, F.lit(RUN)), d.whole, 0))
+            before = F.lower(F.right(F.substr(text, F.lit(1), start(acc, x)), F.lit(CONTEXT)))
+            score = F.when(before.rlike(d.context), F.lit(d.with_context)).otherwise(F.lit(d.score))
+            last = F.coalesce(F.get(acc["found"], F.size(acc["found"]) - 1)["end"], F.lit(0))
+            keep = x["match"].isNotNull() & match.isNotNull() & (start(acc, x) >= last) & (score >= MIN_SCORE)
+            span = F.struct(start(acc, x).alias("start"), F.lit(KINDS.index(d.kind)).alias("rank"), (start(acc, x) + F.length(match)).alias("end"), F.lit(d.kind).alias("kind"), score.alias("score"), match.alias("text"))
         return F.struct(end.alias("at"), F.when(keep, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
     none = F.array().cast(_SPAN)
