@@ -22,10 +22,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where it is unset (tests on one machine) a folder of our own."""
+    """The shared folder of spark.checkpoint.dir; only where it is unset, and on one machine, a folder of our own."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if sc.getCheckpointDir() is None:
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or f"file://{tempfile.mkdtemp(prefix='statlas-checkpoint-')}")
     return named or sc.getCheckpointDir()
 
@@ -36,6 +38,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -47,6 +50,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns: those given, with underscores before them until none is a column of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -42,7 +42,8 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1))).alias("h")).first()
+    """The number of edges and a hash of their set; exclusive or cannot overflow."""
+    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
     return row["n"], row["h"] or 0
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlas.llm import _text
-from statlas.llm._util import prepare
+from statlas.llm._util import fresh, prepare
 
 U = np.uint64
 SHINGLE, CONTAINMENT = 5, 0.8
@@ -223,5 +223,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, thresho
                     keep[[row + f[0] for f in search_chunk(data, offsets, items, shingle, threshold)]] = False
                 yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=schema.names).filter(pa.array(keep))
 
-        docs = docs.withColumn("_lower", F.lower("text")).mapInArrow(run, schema)
+        docs = docs.withColumn(fresh(docs, "_lower")[0], F.lower("text")).mapInArrow(run, schema)
     return docs

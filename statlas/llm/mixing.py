@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statlas.llm._util import cut, prepare
+from statlas.llm._util import cut, fresh, prepare
 
 #: Leaves up to this number are broadcast (about 100 bytes each); more are joined by an exchange.
 BROADCAST_LEAVES = 50_000
@@ -146,7 +146,8 @@ def mixed(docs: DataFrame, mix: Mix, domain: Column | None = None, tokens: Colum
     """
     prepare(docs.sparkSession)
     wide = narrow_of(docs.drop("domain", "language", "origin", "n_tokens", "copies"), domain, tokens)
-    ends = cut(cuts(cut(wide.select("doc_id", *LEAF, "n_tokens")), mix))
-    taken = (turn(F.col("doc_id"), mix.seed, F.col("epochs")) <= F.col("cut")).cast("long")
-    out = wide.join(_sent(ends), LEAF).withColumn("copies", F.col("epochs") + taken).where("copies > 0 and n_tokens > 0")
+    epochs, last = fresh(wide, "epochs", "cut")
+    ends = cut(cuts(cut(wide.select("doc_id", *LEAF, "n_tokens")), mix)).withColumnsRenamed({"epochs": epochs, "cut": last})
+    taken = (turn(F.col("doc_id"), mix.seed, F.col(epochs)) <= F.col(last)).cast("long")
+    out = wide.join(_sent(ends), LEAF).withColumn("copies", F.col(epochs) + taken).where("copies > 0 and n_tokens > 0")
     return out.select(*wide.columns, "copies")

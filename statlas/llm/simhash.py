@@ -7,7 +7,8 @@ variant meet by equality, are verified on all 64 bits, and the links go to conne
 
 Copies share a fingerprint, so a group of copies is one index entry however large it is. Entries
 with one key are verified as a stream; a long run of them is not compared pair by pair but grouped
-again by the variants of its other half, which costs a fixed number of sorts.
+again by the variants of its other half, which costs a fixed number of sorts. A run that is too long
+for one task is grouped so by a second exchange, in which each group is a small part of the run.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlas.llm._text import popcount
-from statlas.llm._util import cut, prepare
+from statlas.llm._util import cut, fresh, prepare
 from statlas.llm.components import connected_components, local_stars
 
 U = np.uint64
 #: Runs up to this length are compared pair by pair in place.
 SHORT_RUN = 48
+#: Runs up to this length are held in a task; the members of longer ones go to one more exchange, by their groups.
+HELD_RUN = 1 << 16
 
 
 def fingerprint(text: bytes, k: int = 3, seed: int = 42) -> int:
@@ -124,22 +127,69 @@ def links_of_runs(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(left), np.concatenate(right)
 
 
+def deep_rows(key: int, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group, fp) of the members of one run: members of one group are linked, and linked members share a group."""
+    first_half = not key >> 37
+    other, own = (fp & U(0xFFFFFFFF), fp >> U(32)) if first_half else (fp >> U(32), fp & U(0xFFFFFFFF))
+    bits = U(1) << np.arange(32, dtype=U)
+    keys = [(other[:, None] & ~bits) | (np.arange(32, dtype=U) << U(32))]
+    if (key >> 32) & 31 == 0:  # equal own halves, two bits apart in the other; the halves of this run differ in bit 0
+        i, j = np.tril_indices(32, -1)
+        tag = (np.arange(len(i), dtype=U) << U(32)) | U(1 << 62)
+        keys.append((other[:, None] & ~(bits[i] | bits[j])) | tag | ((own & U(1)) << U(61))[:, None])
+    each = np.concatenate(keys, axis=1)
+    return each.ravel(), np.repeat(fp, each.shape[1])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, a, b): links a-b with a null key, and members b of groups (key, a) of the runs that are too long to hold."""
     held_k, held_f = np.zeros(0, np.int64), np.zeros(0, U)
+    spilled = None
 
-    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        x, y = local_stars(a.view(np.int64), b.view(np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+    def rows(key: int | None, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        keys = pa.nulls(len(a), pa.int64()) if key is None else pa.array(np.full(len(a), key))
+        return pa.RecordBatch.from_arrays([keys, pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["key", "a", "b"])
+
+    def links(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+        a, b = links_of_runs(k, f)
+        return rows(None, *local_stars(a.view(np.int64), b.view(np.int64)))
+
+    def spill(key: int, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(f), 512):
+            group, member = deep_rows(key, f[i : i + 512])
+            yield rows(key, group.view(np.int64), member.view(np.int64))
 
     for batch in batches:
         k = np.concatenate([held_k, np.asarray(batch.column(0))])
         f = np.concatenate([held_f, np.asarray(batch.column(1)).view(U)])
         if not len(k):
             continue
+        if spilled is not None:
+            end = int(np.searchsorted(k, spilled, side="right"))
+            yield from spill(spilled, f[:end])
+            k, f = k[end:], f[end:]
+            if not len(k):
+                held_k, held_f = k, f
+                continue
+            spilled = None
         last = int(np.searchsorted(k, k[-1]))
+        yield links(k[:last], f[:last])
         held_k, held_f = k[last:], f[last:]
-        yield out(*links_of_runs(k[:last], f[:last]))
-    yield out(*links_of_runs(held_k, held_f))
+        if len(held_k) > HELD_RUN:
+            spilled = int(held_k[0])
+            yield from spill(spilled, held_f)
+            held_k, held_f = held_k[:0], held_f[:0]
+    yield links(held_k, held_f)
+
+
+def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between neighbours of equal (key, group); the rows come sorted."""
+    last = np.zeros((0, 3), np.int64)
+    for batch in batches:
+        rows = np.concatenate([last, np.stack([np.asarray(c) for c in batch.columns], axis=1)])
+        same = (rows[1:, :2] == rows[:-1, :2]).all(axis=1)
+        last = rows[-1:]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:-1, 2][same]), pa.array(rows[1:, 2][same])], names=["a", "b"])
 
 
 def components(fps: DataFrame) -> DataFrame:
@@ -149,7 +199,10 @@ def components(fps: DataFrame) -> DataFrame:
     """
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rows = distinct.select("fp").mapInArrow(_index, "key long, fp long")
-    links = rows.repartition(F.col("key")).sortWithinPartitions("key", "fp").mapInArrow(_verify, "a long, b long")
+    found = cut(rows.repartition(F.col("key")).sortWithinPartitions("key", "fp").mapInArrow(_verify, "key long, a long, b long"))
+    links, deep = found.where("key is null").select("a", "b"), found.where("key is not null")
+    if deep.limit(1).count():
+        links = links.union(deep.repartition(F.col("key"), F.col("a")).sortWithinPartitions("key", "a", "b").mapInArrow(_chain, "a long, b long"))
     of = connected_components(links)
     named = distinct.join(of, distinct.fp == of.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     ids = named.groupBy("c").agg(F.min("least").alias("component_id"))
@@ -176,13 +229,14 @@ def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
     rows = found.groupBy("c", "doc_id", "hash").agg(F.count("*").alias("n"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "hash")
     first = rows.groupBy("c").agg(F.min(order).alias("first"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    marks = rows.join(first, "c").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), order.eqNullSafe(F.col("first")).alias("stays"), "n")
+    id_, hash_ = fresh(docs, "_id", "_hash")
+    marks = rows.join(first, "c").select(F.col("doc_id").alias(id_), F.col("hash").alias(hash_), order.eqNullSafe(F.col("first")).alias("stays"), "n")
     marks = cut(marks.where("not stays or n > 1"))
-    this = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    kept = docs.join(marks, this, "left_anti")
-    again = marks.where("stays").select("_id", "_hash")
+    this = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
+    kept = docs.join(marks.select(id_, hash_), this, "left_anti")
+    again = marks.where("stays").select(id_, hash_)
     if again.limit(1).count():
-        kept = kept.unionByName(docs.join(again, this).dropDuplicates(["_id", "_hash"]).select(*docs.columns))
+        kept = kept.unionByName(docs.join(again, this).dropDuplicates([id_, hash_]).select(*docs.columns))
     return kept
 
 

@@ -5,40 +5,46 @@ hash among its GRAM-word sequences. Equal windows at different places choose equ
 different places, so the number of places where an anchor was chosen is at least the number of
 places of any window that chose it.
 
-1. Each task counts the anchors of its partition in a two-row count-min sketch (0, 1, many per
-   cell); the partition sketches are merged by block of cells. The merged sketch overestimates
-   every anchor's count and so every window's.
-2. A second pass keeps only windows whose anchor is estimated repeated, and groups them exactly by
-   a 96-bit hash of their words. Within a task only the first place of each window is sent on, so
-   a group has at most one row per task and batch however often a passage occurs; the later places
-   of the task are repeats already.
-3. The places found to be repeats come back by document, and the words that they cover go.
-
-The sketch has a fixed upper size (MAX_CELLS, at one bit each when merged); more windows than fit
-make the estimate coarser and the second pass larger, never a result different.
+1. Documents go, compressed, to groups of about GROUP_BYTES. The partitions count their groups'
+   anchors in a two-row count-min sketch (0, 1, many per cell). A row has a cell for every one or
+   two bytes of all texts, so a few cells in a hundred are in use at any size of the input. The
+   sketch is never whole in one place: the groups' sketches are merged by blocks of cells, each
+   block in one task, which answers every group with those of its cells that are counted more than once.
+2. A second pass over the groups keeps only windows whose anchor is so estimated repeated, and
+   groups them exactly by a 96-bit hash of their words. Within a group of documents only the first
+   place of each window is sent on, so a passage in a third of all documents makes one row a group;
+   the later places of the group are repeats already.
+3. The places found to be repeats come back to their groups, and the words that they cover go.
+
+The three passes read one exchange of the documents. Two windows count as equal if their hashes are: among n windows
+estimated repeated there is a false pair with probability below n**2 / 2**97, and with v different words two of one
+hash, of which a false pair could come if all else in their windows is equal, with v**2 / 2**65.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlas.llm import _text
-from statlas.llm._util import prepare
+from statlas.llm._util import fresh, partitions, prepare
 
 U = np.uint64
 WINDOW, GRAM = 20, 10
 ROWS = 2
-MAX_CELLS = 1 << 28
-MIN_CELLS = 1 << 18
-BLOCK = 1 << 16
-#: Anchors that a task gathers before it gives out a partial sketch.
+MIN_CELLS = 1 << 16
+#: Cells in a block of the sketch at most; its task holds those in use, about one in thirty.
+MAX_BLOCK = 1 << 27
+#: Bytes of text in a group of documents, which one task holds with its windows, and in a partition.
+GROUP_BYTES, PARTITION_BYTES = 16 << 20, 256 << 20
+#: Anchors that a task gathers before it gives out sketches.
 HELD = 4 << 20
 NO_ID = -(1 << 63)
 
@@ -78,227 +84,263 @@ class Windows:
             self.chosen = grams[_largest(np.concatenate([pad, low, pad]), span) == grams]
 
 
+class Layout:
+    """The sizes that follow from the bytes of all texts."""
+
+    def __init__(self, total: int, parts: int) -> None:
+        self.width = max(MIN_CELLS, 1 << max(0, total // 2 - 1).bit_length())
+        # at least 64 blocks of a large sketch, and no more than MAX_BLOCK cells in one
+        self.block = min(MAX_BLOCK, max(MIN_CELLS, self.width * ROWS // 64))
+        self.groups = max(parts, -(-total // GROUP_BYTES))
+        self.partitions = max(parts, -(-total // PARTITION_BYTES))
+
+
 def cells(anchors: np.ndarray, width: int) -> list[np.ndarray]:
-    """The cell of each anchor in each row of a sketch; row r owns the cells from r * width."""
-    mask = U(width - 1)
-    return [(anchors & mask).astype(np.int64), (((anchors >> U(32)) * U(0x9E3779B97F4A7C15) >> U(20)) & mask).astype(np.int64) + width]
-
-
-def _partial(anchors: np.ndarray, width: int) -> pa.RecordBatch | None:
-    """A partition's sketch: per block of cells, the offsets of cells hit once and of cells hit more often."""
-    found = []
-    for at in cells(anchors, width):
-        at.sort()
-        new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
-        found.append((at[new], np.diff(np.r_[new, len(at)]) > 1))
-    at = np.concatenate([a for a, _ in found])
-    many = np.concatenate([m for _, m in found])
-    out = []
+    """The cell of each anchor in each row of a sketch; row r owns the cells from r * width. width: a power of two."""
+    bits = width.bit_length() - 1
+    return [(anchors & U(width - 1)).astype(np.int64), (anchors * U(0x9E3779B97F4A7C15) >> U(64 - bits)).astype(np.int64) + width]
+
+
+def _grouped_docs(docs: DataFrame, layout: Layout) -> DataFrame:
+    """docs with the text compressed, exchanged by group; three columns follow: the document's id (NO_ID if null), a hash of its text, its group."""
+    doc, tie, group = fresh(docs, "_doc", "_tie", "_group")
+    at, id_at = docs.columns.index("text"), docs.columns.index("doc_id")
+    fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in docs.schema.fields]
+    schema = T.StructType([*fields, T.StructField(doc, T.LongType()), T.StructField(tie, T.IntegerType()), T.StructField(group, T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            raw = [t.as_py() for t in batch.column(at).cast(pa.binary())]
+            hashed = np.array([0 if t is None else xxhash.xxh64_intdigest(t) for t in raw], U)
+            ids = batch.column(id_at).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            own = (_text.mix(ids.astype(U) ^ hashed) % U(layout.groups)).astype(np.int32)
+            texts = pa.array([None if t is None else pack(t) for t in raw], pa.binary())
+            columns = [texts if i == at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids), pa.array(hashed.astype(np.uint32).view(np.int32)), pa.array(own)], names=schema.names)
+
+    return docs.mapInArrow(run, schema).repartition(layout.partitions, group)
+
+
+def _unpacked(column: pa.Array) -> list[bytes | None]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(t.as_py()) if t.is_valid else None for t in column]
+
+
+def _lists(group: int, anchors: np.ndarray, layout: Layout) -> Iterator[pa.RecordBatch]:
+    """A group's sketch: per block of cells, the offsets of cells hit once and of cells hit more often."""
+    at = np.sort(np.concatenate(cells(anchors, layout.width)))
+    new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
+    many = np.diff(np.r_[new, len(at)]) > 1
+    at = at[new]
     for flag in (False, True):
         own = at[many == flag]
         if len(own):
-            block = own // BLOCK
+            block = own // layout.block
             new = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            bounds = np.r_[new, len(own)].astype(np.int32) * 2
-            raw = (own % BLOCK).astype("<u2")
-            data = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
-            out.append(pa.RecordBatch.from_arrays([pa.array(block[new], pa.int64()), pa.array(np.full(len(new), flag)), data], names=["block", "many", "cells"]))
-    return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if out else None
-
+            bounds = np.r_[new, len(own)].astype(np.int32) * 4
+            data = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(bounds), pa.py_buffer((own % layout.block).astype("<u4"))])
+            columns = [pa.array(block[new], pa.int64()), pa.array(np.full(len(new), group), pa.int32()), pa.array(np.full(len(new), flag)), data]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "grp", "many", "cells"])
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(grp, block, cells): those of each list's cells that the block's lists count more than once; the rows come sorted by block."""
+    held: list[tuple[int, bool, np.ndarray]] = []
+    block = None
+
+    def out() -> Iterator[pa.RecordBatch]:
+        whole, n = np.unique(np.concatenate([at for _, _, at in held]), return_counts=True)
+        for _, many, at in held:
+            if many:
+                n[np.searchsorted(whole, at)] = 2
+        found = whole[n > 1]
+        groups, lists = [], []
+        for group, _, at in held if len(found) else ():
+            own = at[found[np.minimum(np.searchsorted(found, at), len(found) - 1)] == at]
+            if len(own):
+                groups.append(group)
+                lists.append(own.tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), pa.array([block] * len(groups), pa.int64()), pa.array(lists, pa.binary())], names=["grp", "block", "cells"])
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of the merged sketch, one bit per cell counted more than once; the rows come sorted by block."""
-    block, count = None, np.zeros(BLOCK, np.uint8)
+    for batch in batches:
+        for b, group, many, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if b != block and held:
+                yield from out()
+                held = []
+            block = b
+            held.append((group, many, np.frombuffer(raw, "<u4")))
+    if held:
+        yield from out()
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(count > 1, bitorder="little").tobytes()], pa.binary())], names=["block", "bits"])
 
-    for batch in batches:
-        for b, many, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if b != block:
-                if block is not None and (count > 1).any():
-                    yield out()
-                block = b
-                count[:] = 0
-            at = np.frombuffer(raw, "<u2")
-            count[at] = 2 if many else np.minimum(count[at] + 1, 2)
-    if block is not None and (count > 1).any():
-        yield out()
-
-
-def sketch(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[int, np.ndarray]:
-    """(cells per row, merged bits of all rows) of the anchors of docs.text; at most MAX_CELLS bits."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    width = MIN_CELLS // ROWS
-    while width * ROWS < min(total, MAX_CELLS):  # about 25 to 50 cells per anchor while that fits
-        width *= 2
+def sketched(grouped: DataFrame, layout: Layout, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(grp, block, cells): the cells of each group's anchors that the merged sketch counts more than once; grouped: as _grouped_docs() gives it."""
+    text = grouped.columns.index("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
         for batch in batches:
-            for _, _, data, offsets in _text.chunks(batch.column(0)):
-                held.append(Windows(data, offsets, window, gram).chosen)
-                size += len(held[-1])
-                if size >= HELD:
-                    if (part := _partial(np.concatenate(held), width)) is not None:
-                        yield part
-                    held, size = [], 0
-        if size and (part := _partial(np.concatenate(held), width)) is not None:
-            yield part
-
-    parts = docs.select("text").mapInArrow(count, "block long, many boolean, cells binary")
-    merged = parts.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_merge, "block long, bits binary")
-    bits = np.zeros(-(-width * ROWS // BLOCK) * BLOCK // 8, np.uint8)
-    size = BLOCK // 8
-    for block, raw in merged.collect():  # at most MAX_CELLS bits
-        bits[block * size : block * size + len(raw)] = np.frombuffer(raw, np.uint8)
-    return width, bits
-
-
-def _repeats(docs: DataFrame, width: int, bits: np.ndarray, window: int, gram: int) -> DataFrame:
-    """(doc, places): starts of windows, as little-endian 32-bit numbers, whose words also start earlier."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(bits)
-
-    def flagged(anchors: np.ndarray) -> np.ndarray:
-        seen = np.ones(len(anchors), bool)
-        for at in cells(anchors, width):
-            seen &= (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        return seen
-
-    def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for row, _, data, offsets in _text.chunks(batch.column(1)):
+            groups = batch.column(batch.num_columns - 1).to_numpy()
+            for group in np.unique(groups).tolist():
+                texts = _unpacked(batch.column(text).filter(pa.array(groups == group)))
+                for _, _, data, offsets in _text.chunks(pa.array(texts, pa.large_binary())):
+                    held.setdefault(group, []).append(Windows(data, offsets, window, gram).chosen)
+                    size += len(held[group][-1])
+            if size >= HELD:
+                for group, found in held.items():
+                    yield from _lists(group, np.concatenate(found), layout)
+                held, size = {}, 0
+        for group, found in held.items():
+            yield from _lists(group, np.concatenate(found), layout)
+
+    asked = grouped.mapInArrow(count, "block long, grp int, many boolean, cells binary")
+    return asked.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(_answers, "grp int, block long, cells binary")
+
+
+_ROW = "h1 long, h2 int, doc long, tie int, pos int, grp int, places binary"
+_ROW_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+_ROW_SCHEMA = pa.schema(list(zip(["h1", "h2", "doc", "tie", "pos", "grp", "places"], _ROW_TYPES, strict=True)))
+Places = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _firsts(rows: Places) -> tuple[Places, Places]:
+    """(h1, h2, doc, tie, pos) split into the first place of each window and its later, different ones."""
+    h1, h2, doc, tie, pos = rows
+    order = np.lexsort((pos, tie, doc, h2, h1))
+    h1, h2, doc, tie, pos = h1[order], h2[order], doc[order], tie[order], pos[order]
+    again = np.r_[False, (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])] if len(h1) else np.zeros(0, bool)
+    head = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
+    # rows of one document at one place are one
+    later = again & ((doc != doc[head]) | (tie != tie[head]) | (pos != pos[head]))
+    return tuple(x[~again] for x in (h1, h2, doc, tie, pos)), tuple(x[later] for x in (h1, h2, doc, tie, pos))
+
+
+def _by_doc(doc: np.ndarray, tie: np.ndarray, pos: np.ndarray, group: np.ndarray) -> pa.RecordBatch:
+    """(grp, doc, tie, places) of places, one row per document of a group."""
+    order = np.lexsort((pos, tie, doc, group))
+    doc, tie, pos, group = doc[order], tie[order], pos[order].astype("<i4"), group[order]
+    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (group[1:] != group[:-1])]) if len(doc) else np.zeros(0, int)
+    bounds = np.r_[new, len(doc)].astype(np.int32) * 4
+    places = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(bounds), pa.py_buffer(pos)])
+    return pa.RecordBatch.from_arrays([pa.array(group[new], pa.int32()), pa.array(doc[new], pa.int64()), pa.array(tie[new], pa.int32()), places], names=["grp", "doc", "tie", "places"])
+
+
+def _repeats(grouped: DataFrame, answers: DataFrame, layout: Layout, window: int, gram: int) -> DataFrame:
+    """(grp, doc, tie, places): starts of windows, as little-endian 32-bit numbers, whose words also start earlier."""
+    text_at, group = grouped.columns.index("text"), grouped.columns[-1]
+
+    def flagged(anchors: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+        new = np.r_[True, anchors[1:] != anchors[:-1]]
+        heads = anchors[new]
+        seen = np.ones(len(heads), bool)
+        for at in cells(heads, layout.width):
+            seen &= repeated[np.minimum(np.searchsorted(repeated, at), len(repeated) - 1)] == at
+        return seen[np.cumsum(new) - 1]
+
+    def propose(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _ROW_SCHEMA.empty_table()
+        own = left.column(left.num_columns - 1)[0].as_py()
+        listed = [np.frombuffer(raw, "<u4") + np.int64(block * layout.block) for block, raw in zip(right["block"].to_pylist(), right["cells"].to_pylist(), strict=True)]
+        repeated = np.unique(np.concatenate(listed))
+        firsts, later = [], []
+        for batch in left.to_batches():
+            docs, ties = (batch.column(batch.num_columns - i).to_numpy() for i in (3, 2))
+            for row, _, data, offsets in _text.chunks(pa.array(_unpacked(batch.column(text_at)), pa.large_binary())):
                 w = Windows(data, offsets, window, gram)
-                if not w.ok.any():
-                    continue
                 at = np.flatnonzero(w.ok)
-                at = at[flagged(w.anchors[at])]
-                if not len(at):
-                    continue
-                h1 = _text.grams(w.hashed, window)[at]
-                h2 = (_text.grams(_text.mix(w.hashed ^ U(0xA5A5A5A5A5A5A5A5)), window, 0x9E6C63D0876A9A47)[at] >> U(32)).astype(np.uint32)
-                text = np.searchsorted(w.first, at, side="right") - 1
-                doc, pos = ids[row + text], (at - w.first[text]).astype(np.int32)
-                order = np.lexsort((pos, doc, h2, h1))
-                h1, h2, doc, pos = h1[order], h2[order], doc[order], pos[order]
-                # a later place in this chunk is known to be a repeat, but rows of one doc_id at one place are one
-                again = np.r_[False, (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])]
-                yield _rows(h1[~again].view(np.int64), h2[~again].view(np.int32), doc[~again], pos[~again], None)
-                if again.any():
-                    group = np.maximum.accumulate(np.where(~again, np.arange(len(again)), 0))
-                    real = again & ((doc != doc[group]) | (pos != pos[group]))
-                    yield from _by_doc(doc[real], pos[real])
-
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(propose, _ROW)
-    spread = rows.repartition(F.col("h1")).sortWithinPartitions("h1", "h2", "doc", "pos")
-    return spread.mapInArrow(_confirm, "doc long, places binary")
-
-
-_ROW = "h1 long, h2 int, doc long, pos int, places binary"
-
-
-def _rows(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, pos: np.ndarray, places: pa.Array | None) -> pa.RecordBatch:
-    columns = [pa.array(h1, pa.int64()), pa.array(h2, pa.int32()), pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.nulls(len(h1), pa.binary()) if places is None else places]
-    return pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc", "pos", "places"])
-
-
-def _grouped(doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order].astype("<i4")
-    new = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-    bounds = np.r_[new, len(doc)].astype(np.int32) * 4
-    return doc[new], pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(bounds), pa.py_buffer(pos)])
-
-
-def _by_doc(doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Known repeats, on their way through the exchange: keyed by document."""
-    if len(doc):
-        ids, places = _grouped(doc, pos)
-        key = _text.mix(ids.astype(U)).view(np.int64)
-        yield _rows(key, np.zeros(len(ids), np.int32), ids, np.full(len(ids), -1, np.int32), places)
+                at = at[flagged(w.anchors[at], repeated)] if len(at) else at
+                if len(at):
+                    h1 = _text.grams(w.hashed, window)[at]
+                    h2 = (_text.grams(_text.mix(w.hashed ^ U(0xA5A5A5A5A5A5A5A5)), window, 0x9E6C63D0876A9A47)[at] >> U(32)).astype(np.uint32)
+                    text = np.searchsorted(w.first, at, side="right") - 1
+                    one, two = _firsts((h1, h2, docs[row + text], ties[row + text], (at - w.first[text]).astype(np.int32)))
+                    firsts.append(one)
+                    later.append(two[2:])
+        if not firsts:
+            return _ROW_SCHEMA.empty_table()
+        one, two = _firsts(tuple(np.concatenate(x) for x in zip(*firsts, strict=True)))
+        later.append(two[2:])
+        h1, h2, doc, tie, pos = one
+        columns = [h1.view(np.int64), h2.view(np.int32), doc, tie, pos, np.full(len(doc), own, np.int32)]
+        sent = pa.Table.from_arrays([*map(pa.array, columns), pa.nulls(len(doc), pa.binary())], schema=_ROW_SCHEMA)
+        # known repeats are on their way through the same exchange, keyed by document
+        doc, tie, pos = (np.concatenate(x) for x in zip(*later, strict=True))
+        known = _by_doc(doc, tie, pos, np.full(len(doc), own, np.int32))
+        key = _text.mix(known["doc"].to_numpy().astype(U)).view(np.int64)
+        none = pa.array(np.full(known.num_rows, -1, np.int32))
+        return pa.concat_tables([sent, pa.Table.from_arrays([pa.array(key), none, known["doc"], known["tie"], none, known["grp"], known["places"]], schema=_ROW_SCHEMA)])
+
+    rows = grouped.groupBy(group).cogroup(answers.groupBy("grp")).applyInArrow(propose, _ROW)
+    spread = rows.repartition(F.col("h1")).sortWithinPartitions("h1", "h2", "doc", "tie", "pos")
+    return spread.mapInArrow(_confirm, "grp int, doc long, tie int, places binary")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The places that are not the first of their window; the rows come sorted by window and place."""
     last = None
-
-    def out(doc: np.ndarray, places: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), places], names=["doc", "places"])
-
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        h1, h2, doc, pos = (np.asarray(c) for c in batch.columns[:4])
-        known = pos < 0
+        known = np.asarray(batch.column(4)) < 0
         if known.any():
-            yield out(doc[known], batch.column(4).filter(pa.array(known)))
-        h1, h2, doc, pos = (x[~known] for x in (h1, h2, doc, pos))
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in (5, 2, 3, 6)], names=["grp", "doc", "tie", "places"]).filter(pa.array(known))
+        h1, h2, doc, tie, pos, group = (np.asarray(c)[~known] for c in batch.columns[:6])
         if not len(h1):
             continue
-        new = np.r_[last is None or last[0] != h1[0] or last[1] != h2[0], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+        new = np.r_[last is None or last[:2] != (h1[0], h2[0]), (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
         at = np.maximum.accumulate(np.where(new, np.arange(len(h1)), -1))
-        first_doc, first_pos = doc[at], pos[at]
+        first = [doc[at], tie[at], pos[at]]
         if not new[0]:
-            first_doc[at < 0], first_pos[at < 0] = last[2], last[3]
-        last = (h1[-1], h2[-1], first_doc[-1], first_pos[-1])
-        repeat = (doc != first_doc) | (pos != first_pos)
+            for x, value in zip(first, last[2:], strict=True):
+                x[at < 0] = value
+        last = (h1[-1], h2[-1], *(x[-1] for x in first))
+        repeat = (doc != first[0]) | (tie != first[1]) | (pos != first[2])
         if repeat.any():
-            yield out(*_grouped(doc[repeat], pos[repeat]))
-
-
-def _packed(docs: DataFrame) -> DataFrame:
-    """docs with each text compressed as a whole, for the exchange: it takes two thirds of what blocks of rows take."""
-    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in docs.schema.fields])
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [zlib.compress(t.as_py(), 1) if t.is_valid else None for t in batch.column(at).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+            yield _by_doc(doc[repeat], tie[repeat], pos[repeat], group[repeat])
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """docs with kept_text, n_words and n_removed: words of repeated windows are out, kept words joined by one space.
 
     docs needs doc_id and text. A null text has no words and gives an empty kept_text. A null doc_id counts as
-    smaller than all others. Rows that share a doc_id are one document: equal rows are no repeats of each other and
-    get one result; should their texts differ, a repeat at a word position of one counts for all of them. Columns
-    named kept_text, n_words, n_removed are replaced; all others stay. An empty table gives an empty result.
+    smaller than all others. Rows equal in doc_id and text are one document: they are no repeats of each other and
+    get one result. Rows that share a doc_id, or have none, and differ in text are separate documents, in the order of
+    a hash of their texts. Columns named kept_text, n_words, n_removed are replaced; all others stay, whatever their
+    names. An empty table gives an empty result. Rows equal in doc_id and text go to one task.
     """
     prepare(docs.sparkSession)
     docs = docs.drop("kept_text", "n_words", "n_removed")
-    width, bits = sketch(docs, window, gram)
-    places = _repeats(docs, width, bits, window, gram).groupBy("doc").agg(F.collect_list("places").alias("_places"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    both = _packed(docs).withColumn("_key", key).join(places, F.col("_key") == F.col("doc"), "left").drop("_key", "doc")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    layout = Layout(total, partitions(docs.sparkSession))
+    grouped = _grouped_docs(docs, layout)
+    places = _repeats(grouped, sketched(grouped, layout, window, gram), layout, window, gram)
     schema = T.StructType([*docs.schema.fields, T.StructField("kept_text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    text, found = both.columns.index("text"), both.columns.index("_places")
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, n_words, n_removed = [], [], []
-            texts = [zlib.decompress(t.as_py()) if t.is_valid else None for t in batch.column(text)]
-            for t, lists in zip(texts, batch.column(found), strict=True):
-                parts = (t or b"").split()
-                n_words.append(len(parts))
-                removed = 0
-                if lists.is_valid:
-                    edge = np.zeros(len(parts) + window + 1, np.int32)
-                    for raw in lists.as_py():
-                        at = np.frombuffer(raw, "<i4")
-                        np.add.at(edge, at[at < len(parts)], 1)
-                        np.add.at(edge, at[at < len(parts)] + window, -1)
-                    gone = np.cumsum(edge[: len(parts)]) > 0
-                    removed = int(gone.sum())
-                    parts = [p for p, g in zip(parts, gone.tolist(), strict=True) if not g]
-                n_removed.append(removed)
-                kept.append(b" ".join(parts))
-            new = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-            old = [pa.array(texts, pa.binary()).cast(pa.string()) if i == text else c for i, c in enumerate(batch.columns) if i != found]
-            yield pa.RecordBatch.from_arrays([*old, *new], names=schema.names)
-
-    return both.mapInArrow(apply, schema)
+    text = docs.columns.index("text")
+
+    def apply(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: dict[tuple[int, int], list[bytes]] = {}
+        for doc, tie, raw in zip(*(right[c].to_pylist() for c in ("doc", "tie", "places")), strict=True):
+            found.setdefault((doc, tie), []).append(raw)
+        n = left.num_columns
+        texts = _unpacked(left.column(text).combine_chunks()) if left.num_rows else []
+        kept, n_words, n_removed = [], [], []
+        for t, doc, tie in zip(texts, left.column(n - 3).to_pylist(), left.column(n - 2).to_pylist(), strict=True):
+            parts = (t or b"").split()
+            n_words.append(len(parts))
+            removed = 0
+            if (doc, tie) in found:
+                edge = np.zeros(len(parts) + window + 1, np.int32)
+                at = np.frombuffer(b"".join(found[doc, tie]), "<i4")
+                np.add.at(edge, at, 1)
+                np.add.at(edge, at + window, -1)
+                gone = np.cumsum(edge[: len(parts)]) > 0
+                removed = int(gone.sum())
+                parts = [p for p, g in zip(parts, gone.tolist(), strict=True) if not g]
+            n_removed.append(removed)
+            kept.append(b" ".join(parts))
+        new = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
+        old = [pa.array(texts, pa.binary()).cast(pa.string()) if i == text else left.column(i) for i in range(n - 3)]
+        return pa.Table.from_arrays([*old, *new], names=schema.names)
+
+    return grouped.groupBy(grouped.columns[-1]).cogroup(places.groupBy("grp")).applyInArrow(apply, schema)

@@ -3,10 +3,13 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from statlas.llm import simhash
-from statlas.llm.components import connected_components, local_stars
+from statlas.llm.components import _state, connected_components, local_stars
 
 
 def plain_fingerprint(text: str) -> int:
@@ -88,6 +91,37 @@ def test_long_runs_lose_no_link():
     assert found == wanted
 
 
+@pytest.mark.parametrize("held", [1, 12, 1 << 16])
+def test_runs_too_long_to_hold_lose_no_link(monkeypatch, held):
+    monkeypatch.setattr(simhash, "HELD_RUN", held)
+    r = random.Random(6)
+    centre = r.getrandbits(64)
+    fps = set()
+    while len(fps) < 250:
+        x = centre
+        for _ in range(r.randrange(7)):
+            x ^= 1 << r.choice([0, 1, 2, 3, 4, 5, 31, 32, 33, 34, 35, 60, 63])
+        fps.add(x)
+    fps = np.array(sorted(fps), np.uint64)
+    rows = sorted((int(k), int(f)) for f, ks in zip(fps.view(np.int64), simhash.variants(fps).view(np.int64), strict=True) for k in ks)
+    keys, values = (np.array(x) for x in zip(*rows, strict=True))
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + 37]), pa.array(values[i : i + 37])], names=["key", "fp"]) for i in range(0, len(keys), 37)]
+    out = [x for b in simhash._verify(iter(batches)) for x in b.to_pylist()]
+    links = [(x["a"], x["b"]) for x in out if x["key"] is None]
+    deep = sorted((x["key"], x["a"], x["b"]) for x in out if x["key"] is not None)
+    assert bool(deep) == (held < 250)
+    cut = [deep[i : i + 1000] for i in range(0, len(deep), 1000)]
+    parts = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*x, strict=True)], names=["key", "a", "b"]) for x in cut]
+    links += [(x["a"], x["b"]) for b in simhash._chain(iter(parts)) for x in b.to_pylist()]
+    at = {int(f): i for i, f in enumerate(fps.view(np.int64))}
+    assert roots(len(fps), [(at[a], at[b]) for a, b in links]) == roots(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if bin(int(fps[i] ^ fps[j])).count("1") <= 2])
+
+
+def test_state_of_many_edges_does_not_overflow(spark):
+    edges = spark.range((1 << 24) + 5).select((F.col("id") + 1).alias("a"), F.lit(0).cast("long").alias("b"))
+    assert _state(edges)[0] == (1 << 24) + 5
+
+
 def test_components(spark):
     r = random.Random(4)
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(r.randrange(200, 300), r.randrange(200, 300)) for _ in range(60)] + [(7, 7)]
