@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 U = np.uint64
 
 #: Bytes that separate words: space and \t \n \v \f \r.
@@ -92,7 +92,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     if base not in _powers or len(_powers[base][0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             x = np.full(size, b, U)

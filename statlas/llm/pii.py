@@ -4,11 +4,13 @@ Regular expressions propose spans, validators (octet ranges, Luhn, mod-97, digit
 them, and words in the CONTEXT characters before a span adjust its score; spans of at least
 MIN_SCORE are kept. Positions come from splitting a text at the matches: the k-th span starts
 after the first k pieces and k - 1 matches. The patterns use possessive quantifiers, which match
-the same spans without backtracking or recursion, so long runs of one character stay linear.
+the same spans without backtracking or recursion, so long runs of one character stay linear. Folds over
+many matches go by blocks as long as the root of their number, so appending to a result stays cheap.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,8 +24,8 @@ MIN_SCORE = 0.6
 class Detector:
     """kind; pattern; a cheap test that a text may hold a match; score without and with context words.
 
-    If whole is given, pattern matches only the head of a span: whole is the longest run from there on, and the
-    longest part of it that ends at a space or at its end and is valid is the span.
+    If run is set, pattern matches only the head of a span and its first group what may follow: the longest part of
+    both together that ends at a space or at its end and is valid is the span.
     """
 
     kind: str
@@ -32,7 +34,7 @@ class Detector:
     score: float
     with_context: float = 1.0
     context: str = ""
-    whole: str = ""
+    run: bool = False
 
 
 EMAIL, IP, CARD, PHONE, IBAN, SSN, LOCAL = "email", "ip", "card", "phone", "iban", "ssn", "local_phone"
@@ -42,7 +44,7 @@ DETECTORS = (
     Detector(IP, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.7, 0.9, r"\bip\b|address|host|server"),
     Detector(CARD, r"[0-9](?:[ -]?[0-9])++", "", 0.8, 1.0, r"card|credit|visa|tarjeta|karte|carte"),
     Detector(PHONE, r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.7, 1.0, r"phone|tel|call|mobile|fax"),
-    Detector(IBAN, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})", "", 0.9, 1.0, r"iban|account|konto|cuenta|compte", r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
+    Detector(IBAN, r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9]))", "", 0.9, 1.0, r"iban|account|konto|cuenta|compte", run=True),
     Detector(SSN, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.4, 0.9, r"\bssn\b|social security"),
     Detector(LOCAL, r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", "", 0.4, 0.8, r"phone|tel\b|call|mobile|fax"),
 )
@@ -50,8 +52,6 @@ DETECTORS = (
 #: Kinds in the order that breaks ties of equal starts; the first four are the base.
 KINDS = tuple(d.kind for d in DETECTORS)
 BASE = KINDS[:4]
-#: Characters of a run that are looked at: 34 with a space before each, and what follows.
-RUN = 70
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
@@ -93,29 +93,67 @@ def _longest(kind: str, run: Column) -> Column:
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double,text:string>>"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value evaluated once however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """items cut into blocks of about the root of their number, so that folds may append to a block's result.
+
+    items must be bound: its elements are taken one by one, as a slice would read the whole array for every block.
+    """
+    size = F.greatest(F.ceil(F.sqrt(F.size(items)) / 3).cast("int"), F.lit(1))
+    last = F.size(items) - 1
+    starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)), size)
+    return F.transform(starts, lambda at: F.transform(F.sequence(at, F.least(at + size - 1, last)), lambda i: F.get(items, i)))
+
+
+def _before(blocks: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The state before each block: start, then what step makes of it over the elements of the blocks so far, with the last state at the end."""
+    return F.aggregate(blocks, F.array(start), lambda acc, block: F.concat(acc, F.array(F.aggregate(block, F.element_at(acc, -1), step))))
+
+
 def _proposed(text: Column, d: Detector) -> Column:
-    """All matches of a detector's pattern with their positions in code points, validated and scored."""
-    pieces = F.split(text, d.pattern, -1)
-    zipped = F.arrays_zip(pieces.alias("piece"), F.regexp_extract_all(text, F.lit(d.pattern), F.lit(0)).alias("match"))
-    start = lambda acc, x: acc["at"] + F.length(x["piece"])
+    """All matches of a detector's pattern with their positions in code points, validated and scored.
 
-    def step(acc: Column, x: Column) -> Column:
-        end = start(acc, x) + F.coalesce(F.length(x["match"]), F.lit(0))
+    A first fold over blocks of matches gives the state before each of them, a second one the spans of each block. Functions
+    over arrays copy their results, so neither carries all spans along.
+    """
+    columns = [F.split(text, d.pattern, -1).alias("piece"), F.regexp_extract_all(text, F.lit(d.pattern), F.lit(0)).alias("match")]
+    if d.run:
+        columns.append(F.regexp_extract_all(text, F.lit(d.pattern), F.lit(1)).alias("rest"))
+
+    def item(x: Column) -> Column:
         before = F.lower(F.right(x["piece"], F.lit(CONTEXT)))
-        score = F.when(before.rlike(d.context), F.lit(d.with_context)).otherwise(F.lit(d.score))
-        span = F.struct(start(acc, x).alias("start"), F.lit(KINDS.index(d.kind)).alias("rank"), end.alias("end"), F.lit(d.kind).alias("kind"), score.alias("score"), x["match"].alias("text"))
-        keep = x["match"].isNotNull() & _valid(d.kind, x["match"]) & (score >= MIN_SCORE)
-        if d.whole:
-            match = _longest(d.kind, F.regexp_extract(F.substr(text, start(acc, x) + 1, F.lit(RUN)), d.whole, 0))
-            before = F.lower(F.right(F.substr(text, F.lit(1), start(acc, x)), F.lit(CONTEXT)))
-            score = F.when(before.rlike(d.context), F.lit(d.with_context)).otherwise(F.lit(d.score))
-            last = F.coalesce(F.get(acc["found"], F.size(acc["found"]) - 1)["end"], F.lit(0))
-            keep = x["match"].isNotNull() & match.isNotNull() & (start(acc, x) >= last) & (score >= MIN_SCORE)
-            span = F.struct(start(acc, x).alias("start"), F.lit(KINDS.index(d.kind)).alias("rank"), (start(acc, x) + F.length(match)).alias("end"), F.lit(d.kind).alias("kind"), score.alias("score"), match.alias("text"))
-        return F.struct(end.alias("at"), F.when(keep, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
+        score = F.when(x["match"].isNull(), 0.0).when(before.rlike(d.context), d.with_context).otherwise(d.score) if d.context else F.lit(d.score)
+        good = _longest(d.kind, F.concat(x["match"], x["rest"])) if d.run else F.when(_valid(d.kind, x["match"]), x["match"])
+        return F.struct(F.length(x["piece"]).alias("skip"), F.coalesce(F.length(x["match"]), F.lit(0)).alias("size"), good.alias("text"), score.alias("score"))
+
+    def state(acc: Column, x: Column) -> Column:
+        """The place after x, and the end of the last span kept."""
+        begin = acc["at"] + x["skip"]
+        keep = x["text"].isNotNull() & (x["score"] >= MIN_SCORE) & (begin >= acc["last"])
+        return F.struct((begin + x["size"]).alias("at"), F.when(keep, begin + F.length(x["text"])).otherwise(acc["last"]).alias("last"))
+
+    def step(acc: Column, x: Column) -> Column:
+        begin, after = acc["at"] + x["skip"], state(acc, x)
+        span = F.struct(begin.alias("start"), F.lit(KINDS.index(d.kind)).alias("rank"), after["last"].alias("end"), F.lit(d.kind).alias("kind"), x["score"].alias("score"), x["text"].alias("text"))
+        found = F.when(after["last"] > acc["last"], F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
+        return F.struct(after["at"].alias("at"), after["last"].alias("last"), found.alias("found"))
 
     none = F.array().cast(_SPAN)
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda acc: acc["found"])
+
+    def spans(blocks: Column, states: Column) -> Column:
+        def block(items: Column, i: Column) -> Column:
+            start = F.struct(F.get(states, i)["at"].alias("at"), F.get(states, i)["last"].alias("last"), none.alias("found"))
+            return F.aggregate(items, start, step, lambda acc: acc["found"])
+
+        return F.flatten(F.transform(blocks, block))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("last"))
+    items = F.transform(F.arrays_zip(*columns), item)
+    found = _bound(items, lambda items: _bound(_blocks(items), lambda blocks: _bound(_before(blocks, start, state), lambda states: spans(blocks, states))))
     hit = text.rlike(d.pattern) if not d.hint else F.contains(text, F.lit(d.hint)) & text.rlike(d.pattern)
     return F.when(hit, found.cast(_SPAN)).otherwise(none)
 
@@ -144,13 +182,28 @@ def base(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """text with each span put out by [KIND]; overlapping spans go as one, under the name of the first."""
+    """text with each span put out by [KIND]; overlapping spans go as one, under the name of the first.
+
+    A block of spans works on its own part of the text, so the time does not grow with the square of their number.
+    """
+
+    def block(spans: Column, at: Column, end: Column) -> Column:
+        """The text from at to end, where the blocks before and after meet, with the spans put out."""
+
+        def out(part: Column) -> Column:
+            def step(acc: Column, s: Column) -> Column:
+                kept = F.substr(part, acc["at"] - at + 1, s["start"] - acc["at"])
+                fresh = F.when(s["start"] >= acc["at"], F.concat(acc["out"], kept, F.lit("["), F.upper(s["kind"]), F.lit("]")))
+                return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.coalesce(fresh, acc["out"]).alias("out"))
+
+            return F.aggregate(spans, F.struct(at.alias("at"), F.lit("").alias("out")), step, lambda acc: acc["out"])
+
+        return _bound(F.substr(text, at + 1, end - at), out)
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        add = F.concat(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], add)).otherwise(acc["out"]).alias("out"))
+    def whole(blocks: Column, ends: Column) -> Column:
+        each = F.transform(blocks, lambda b, i: block(b, F.get(ends, i), F.get(ends, i + 1)))
+        return F.concat(F.array_join(each, ""), F.substr(text, F.element_at(ends, -1) + 1, F.length(text)))
 
-    rest = lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text)))
-    out = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
+    end = lambda at, s: F.greatest(at, s["end"])
+    out = _bound(spans, lambda s: _bound(_blocks(s), lambda blocks: _bound(_before(blocks, F.lit(0), end), lambda ends: whole(blocks, ends))))
     return F.when(F.size(spans) > 0, out).otherwise(text)
