@@ -6,8 +6,8 @@ their numbers. Nyström landmarks turn it into a feature map, and one-versus-res
 regression is fitted on it. A batch of texts is scored by matrix products: presence rows times
 landmark rows, divided by the norms, times the regression weights.
 
-The fit uses at most PER_LANGUAGE labelled texts of a language and MAX_LANGUAGES languages, chosen
-by a hash of the text alone; scoring reads whole texts.
+The fit uses at most PER_LANGUAGE labelled texts of a language and SAMPLE in all, chosen by a hash
+of the text alone; scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlas.llm import _text
-from statlas.llm._util import prepare
+from statlas.llm._util import fresh, prepare
 
 DIMENSIONS = 1 << 14
 LANDMARKS = 128
-PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
+#: Texts that the fit uses: of a language at most, and in all. A text takes DIMENSIONS / 8 bytes on the driver.
+PER_LANGUAGE, SAMPLE = 400, 25_600
 RIDGE = 1e-3
 SHARPNESS = 6.0
 UNDETERMINED = "und"
@@ -59,9 +59,10 @@ class Model:
     """Landmark rows, the feature map and the regression weights."""
 
     def __init__(self, x: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> None:
-        self.languages = sorted(set(labels))
-        target = np.array([[1.0 if lang == label else -1.0 for lang in self.languages] for label in labels])
-        share = np.array([labels.count(label) for label in labels], float)
+        names, code = np.unique(labels, return_inverse=True)
+        self.languages = names.tolist()
+        target = np.where(code[:, None] == np.arange(len(names)), 1.0, -1.0)
+        share = np.bincount(code)[code].astype(float)
         # landmarks in turn from each language, in the order of the sample
         rank = {lang: 0 for lang in self.languages}
         order = []
@@ -102,32 +103,33 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model | None:
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> Model | None:
     """A model from labelled (text, lang); null langs and texts without a letter are left out. None if nothing is left.
 
-    At most per_language different texts of each language are used, those with the smallest hash of their text; more
-    than max_languages languages are an error.
+    At most per_language different texts of each language are used, those with the smallest hash of their text, and
+    at most sample in all: of many languages fewer texts each, and of more languages than that the most frequent ones.
     """
     prepare(labelled.sparkSession)
     known = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select(F.col("lang").alias("label"), "text", F.xxhash64(F.lit("fit"), "text").alias("turn"))
     # copies of a text share its hash and count once, so that they neither fill the sample nor thin it out
-    counts = {r["label"]: r["n"] for r in known.select("label", "turn").distinct().groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(max_languages + 1).collect()}
-    if len(counts) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    if not counts:
+    counts = known.select("label", "turn").distinct().groupBy("label").agg(F.count("*").alias("n"))
+    found = {r["label"]: r["n"] for r in counts.orderBy(F.desc("n"), "label").limit(sample).collect()}
+    if not found:
         return None
+    per_language = min(per_language, sample // len(found))
     # a share of the hash space that holds about twice the wanted texts, then at most per_language of them
-    limit = F.coalesce(*(F.when(F.col("label") == lang, F.lit(int((1 << 63) * min(1.0, 2 * per_language / n)) - 1 if n > 2 * per_language else (1 << 63) - 1)) for lang, n in counts.items()))
-    drawn = known.where(F.col("turn").bitwiseAND(F.lit((1 << 63) - 1)) <= limit).dropDuplicates(["label", "turn"])
-    rows: dict[str, list[tuple[int, bytes]]] = {lang: [] for lang in counts}
-    for r in drawn.mapInArrow(_packed, "label string, bits binary, turn long").collect():
+    share = [(lang, int((1 << 63) * min(1.0, 2 * per_language / n)) - 1 if n > 2 * per_language + 16 else (1 << 63) - 1) for lang, n in sorted(found.items())]
+    limits = labelled.sparkSession.createDataFrame(share, "label string, upto long")  # at most sample rows
+    drawn = known.join(F.broadcast(limits), "label").where(F.col("turn").bitwiseAND(F.lit((1 << 63) - 1)) <= F.col("upto"))
+    rows: dict[str, list[tuple[int, bytes]]] = {lang: [] for lang in found}
+    for r in drawn.select("label", "text", "turn").dropDuplicates(["label", "turn"]).mapInArrow(_packed, "label string, bits binary, turn long").collect():
         rows[r["label"]].append((r["turn"], bytes(r["bits"])))
     labels, bits = [], []
-    for lang, found in sorted(rows.items()):
-        for _, raw in sorted(found)[:per_language]:
+    for lang, texts in sorted(rows.items()):
+        for _, raw in sorted(texts)[:per_language]:
             labels.append(lang)
-            bits.append(np.unpackbits(np.frombuffer(raw, np.uint8)))
-    return Model(np.array(bits, np.float32), labels)
+            bits.append(np.frombuffer(raw, np.uint8))
+    return Model(np.unpackbits(np.array(bits), axis=1).astype(np.float32), labels)
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -136,7 +138,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     Only text is looked at. Columns named lang_pred or score are replaced, all others stay; equal texts get equal results.
     """
     prepare(docs.sparkSession)
-    docs = docs.drop("lang_pred", "score").withColumn("_letter", has_letter(F.col("text")))
+    docs = docs.drop("lang_pred", "score")
+    docs = docs.withColumn(fresh(docs, "_letter")[0], has_letter(F.col("text")))
     schema = T.StructType([*docs.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     text = docs.columns.index("text")
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -24,7 +24,7 @@ def test_forty_thousand_spans_in_one_text(spark):
 
 
 def test_overlapping_spans_are_put_out_as_one(spark):
-    text = "x " + "+1 555 123-4567 4111 1111 1111 1111 " * 300
+    text = "x " + "+378282246310005, 10.0.0.1; " * 300
     row = pii.with_spans(spark.createDataFrame([(text,)], "text string")).select("pii", pii.redacted(F.col("text"), F.col("pii")).alias("out")).first()
     out, at = "", 0
     for s in row.pii:

@@ -304,3 +304,35 @@ def test_urls(spark):
         11: ("other.net", "/a", None, "block"),
     }
     assert urlfilter.judge(pages.where("false"), RULES).count() == 0
+
+
+def test_many_rules_by_join_are_those_compiled(spark, monkeypatch):
+    r = random.Random(9)
+    hosts = ["org", "a.org", "b.a.org", "com", "x.com", "y.net"]
+    rules = list({(h, p): urlfilter.Rule(r.choice(["allow", "block"]), h, p) for h in hosts for p in ("/", "/a", "/a/b", "/ab", "/é/", "/b/" + "c" * r.randrange(9))}.values())
+    rules += [urlfilter.Rule("allow", "org", "/a"), urlfilter.Rule("block", "org", "/a")]  # a tie: the allow counts
+    urls = [f"http://{s}{h}{p}" for s in ("", "w.", "W.w.") for h in [*hosts, "aorg", "org."] for p in ("", "/", "/a", "/a/bc", "/abc?x", "/é/ü", "/b/ccc", "/a/" + "b" * 5000)]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)] + [(-1, None, None), (0, urls[0], None)], "page_id long, url string, html string")
+    one = sorted((x.page_id, str(x.rule), x.verdict) for x in urlfilter.judge(pages, rules).collect())
+    monkeypatch.setattr(urlfilter, "COMPILED_RULES", 3)
+    assert sorted((x.page_id, str(x.rule), x.verdict) for x in urlfilter.judge(pages, rules).collect()) == one
+    assert urlfilter.judge(pages.where("false"), rules).count() == 0
+
+
+def test_forms_of_links(spark):
+    bad, tag = "http://x.com/de/9", '<link rel="{}" href="{}">'
+    rows = [
+        (1, "http://a.net/p/q/r", tag.format("alternate canonical", "../../hub")),
+        (2, "http://a.net/hub", tag.format("canonical", bad)),
+        (3, "http://b.net", tag.format("canonical", "http://b.net/")),
+        (4, "http://b.net/", tag.format("canonical", bad)),
+        (5, "http://c.net/s?id=1", tag.format("canonical", "?id=2")),
+        (6, "http://c.net/s?id=2", tag.format("canonical", bad)),
+        (7, "http://d.net/", "<!-- " + tag.format("canonical", bad) + " -->"),
+        (8, "http://e.net/", "<script>'" + tag.format("canonical", bad) + "'</script>"),
+        (9, "http://f.net/", tag.format("noncanonical", bad)),
+        (10, "http://g.net/", tag.format("canonical", "#top")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {x.page_id for x in urlfilter.judge(pages, RULES).collect() if x.verdict == "block"}
+    assert got == {1, 2, 3, 4, 5, 6}
