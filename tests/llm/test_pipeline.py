@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import importlib.util
 import re
+import zlib
 from pathlib import Path
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from statlas.llm import pii
+from statlas.llm import langid, pii
 from statlas.llm.queries import MIX
 
 DATA = "/root/testdata/sf0.001"
@@ -20,7 +24,7 @@ def _module(name: str):
     return module
 
 
-other, near, leak = _module("test_other_operators"), _module("test_simhash"), _module("test_decontam")
+other, near, leak = _module("test_other_operators"), _module("test_near_duplicate_rows"), _module("test_decontam")
 
 
 def has_letter(text: str | None) -> bool:
@@ -28,18 +32,20 @@ def has_letter(text: str | None) -> bool:
 
 
 def one_of_each(rows: list[tuple]) -> list[tuple]:
-    fps = [near.plain_fingerprint(r[1] or "") for r in rows]
-    groups: dict[int, list[int]] = {}
-    for i, f in enumerate(fps):
-        groups.setdefault(f, []).append(i)
-    keys = sorted(groups)
-    links = [(groups[a][0], groups[b][0]) for i, a in enumerate(keys) for b in keys[:i] if (a ^ b).bit_count() <= 2]
-    links += [(g[0], i) for g in groups.values() for i in g]
-    root = near.roots(len(rows), links)
-    least: dict[int, int] = {}
-    for i, r in enumerate(rows):
-        least[root[i]] = min(least.get(root[i], r[0]), r[0])
-    return [r for i, r in enumerate(rows) if r[0] == least[root[i]]]
+    """By comparing the 5-word shingles of all pairs."""
+    kept = set(near.kept([(r[0], r[1]) for r in rows]))
+    return [r for r in rows if r[0] in kept]
+
+
+def predicted(model, texts: list[str]) -> list[tuple[str, float]]:
+    """Language and score of each text, one by one, by the plain kernel of its n-grams with the model's landmarks."""
+    out = []
+    for t in texts:
+        x = langid.presence(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+        margin = (x @ model.marks / (max(float(x.sum()), 1) ** 0.5 * model.norms) @ model.weights + model.bias)[0]
+        share = np.exp(langid.SHARPNESS * (margin - margin.max()))
+        out.append((model.languages[int(margin.argmax())], float(1 / share.sum())))
+    return out
 
 
 def mod97(match: str) -> bool:
@@ -81,10 +87,13 @@ def test_pipeline(spark, tmp_path):
     benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
     columns = source.columns
     first = [tuple(r) for r in source.collect()]
-    extra = [(900_001, None, "en", "src1", 0), (900_002, "12 34 !", "en", "src2", 7), (900_003, first[3][1], None, "src3", 1), (900_004, "Write to a.b@c-d.org or +1 (555) 123-4567, IBAN GB82 WEST 1234 5698 7654 32.", "en", None, 60), (900_005, f"x {benchmark.first().text} y", "en", "src4", 9)]
+    extra = [(900_001, None, "en", "src1", 0), (900_002, "12 34 !", "en", "src2", 7), (900_003, first[3][1], None, "src3", 1), (900_004, "Write to a.b@c-d.org or +1 (555) 123-4567, IBAN GB82 WEST 1234 5698 7654 32.", "en", None, 60), (900_005, f"x {benchmark.first().text} y", "en", "src4", 9), (900_006, "The and of it was with that " * 30, None, "src5", 1)]
     spark.createDataFrame(first + extra, source.schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
-    rows = [r for r in first + extra if has_letter(r[1])]
+    model = langid.fit(source.where(~langid.held_out(F.col("doc_id"))).unionByName(spark.createDataFrame([r for r in extra if zlib.crc32(str(r[0]).encode()) % 5], source.schema)))
+    told = {r: x for r, x in zip(first + extra, predicted(model, [r[1] or "" for r in first + extra]), strict=True)}
+    rows = [(r[0], r[1], r[2] or told[r][0], *r[3:]) for r in first + extra if has_letter(r[1]) and told[r][1] >= corpus_pipeline.MIN_SCORE]
+    assert (900_006, "en") in {(r[0], r[2]) for r in rows}
     rows = one_of_each(rows)
     items = [leak.shingles(r.text, 5) for r in benchmark.collect()]
     rows = [r for r in rows if not any(len(i & leak.shingles(r[1], 5)) >= 0.8 * len(i) for i in items)]
