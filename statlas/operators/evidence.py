@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,42 +12,38 @@ from pyspark.sql import functions as F
 SEVERITY = {"required": "high", "preferred": "medium", "fallback": "low"}
 
 
-@dataclass(frozen=True)
-class EvidenceQuery:
-    """Membership by dimension: None is no condition, an empty tuple matches nothing."""
+#: What can be asked for: the columns that may hold it, and whether letters' case counts.
+DIMENSIONS: dict[str, tuple[tuple[str, ...], bool]] = {
+    "country": (("country_code", "country_name"), False),
+    "indicator": (("indicator_code",), True),
+    "source": (("source_id",), True),
+    "family": (("family",), True),
+    "leader": (("leader_id", "leader_name"), True),
+    "year": (("year",), True),
+}
 
-    sources: tuple[str, ...] | None = None
-    families: tuple[str, ...] | None = None
-    indicators: tuple[str, ...] | None = None
-    years: tuple[int, ...] | None = None
-    countries: tuple[str, ...] | None = None
-    leaders: tuple[str, ...] | None = None
 
-
-def _member(columns: Sequence[str], values: Sequence | None) -> Column:
-    if values is None:
-        return F.lit(True)
+def _member(columns: Sequence[str], values: Sequence, cased: bool) -> Column:
     if not values:
         return F.lit(False)
-    hit = reduce(lambda a, b: a | b, (F.coalesce(F.col(c).isin(list(values)), F.lit(False)) for c in columns))
-    return hit
+    cell = F.col if cased else lambda c: F.lower(F.trim(F.col(c)))
+    wanted = list(values) if cased else [str(v).strip().lower() for v in values]
+    return reduce(lambda a, b: a | b, (F.coalesce(cell(c).isin(wanted), F.lit(False)) for c in columns))
+
 
+def matches(wanted: Mapping[str, Sequence]) -> Column:
+    """Rows that match every dimension of wanted by one of its values; no values match nothing, a null never matches.
 
-def matches(query: EvidenceQuery) -> Column:
-    """A null never matches a stated dimension; countries and leaders match by id or by name."""
-    parts = [
-        _member(["source_id"], query.sources),
-        _member(["family"], query.families),
-        _member(["indicator_code"], query.indicators),
-        _member(["year"], query.years),
-        _member(["country_code", "country_name"], query.countries),
-        _member(["leader_id", "leader_name"], query.leaders),
-    ]
-    return reduce(lambda a, b: a & b, parts)
+    Countries and leaders match by id or by name, countries whatever their letters' case.
+    """
+    unknown = set(wanted) - set(DIMENSIONS)
+    if unknown:
+        raise ValueError(f"unknown dimensions {sorted(unknown)}")
+    return reduce(lambda a, b: a & b, (_member(columns, wanted[k], cased) for k, (columns, cased) in DIMENSIONS.items() if k in wanted), F.lit(True))
 
 
-def query_observations(observations: DataFrame, query: EvidenceQuery) -> DataFrame:
-    return observations.where(matches(query))
+def matching(observations: DataFrame, wanted: Mapping[str, Sequence]) -> DataFrame:
+    return observations.where(matches(wanted))
 
 
 def one_manifest(manifests: DataFrame, source_id: str, run_id: str | None = None) -> DataFrame:

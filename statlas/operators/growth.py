@@ -40,32 +40,39 @@ def country_year_growth(fact: DataFrame) -> DataFrame:
 def regime_year_aggregates(fact: DataFrame, growth: DataFrame | None = None, one_population: bool = False) -> DataFrame:
     """Aggregates by year and metric at two granularities: regime buckets (regime empty) and regimes (bucket empty).
 
-    Both come from one expansion of the rows, one exchange. Each country's population of the year is the weight; if a country
-    has several population rows a year, its rows count that often, unless one_population takes their maximum.
+    Both come from one expansion of the rows. Growth and each country's population of the year, the weight, are windows
+    within a country, so the fact is exchanged once for both. If a country has several population rows a year, its
+    rows count that often, unless one_population takes their maximum. growth: country_year_growth(fact), if it is there already.
     """
-    growth = country_year_growth(fact) if growth is None else growth
-    work = with_optional(fact).where(F.col("value").isNotNull())
-    people = work.where(F.col("metric_id") == POPULATION).select("country_iso3", "year", F.col("value").alias("_people"))
-    if one_population:
-        people = people.groupBy("country_iso3", "year").agg(F.max("_people").alias("_people"))
-    work = work.join(people, ["country_iso3", "year"], "left")
+    rows = country_year_growth(fact.repartition("country_iso3")) if growth is None else with_optional(growth)
+    year = Window.partitionBy("country_iso3", "year")
+    own = F.when(F.col("metric_id") == POPULATION, F.col("value"))
+    people = (F.max if one_population else F.sum)(own).over(year)
+    times = F.lit(1) if one_population else F.greatest(F.count(own).over(year), F.lit(1))
+    work = rows.withColumns({"_people": people, "_times": times}).where(F.col("value").isNotNull())
     level = F.explode(F.array(F.struct(F.lit(True).alias("bucket"), F.col("political_regime_bucket").alias("name")), F.struct(F.lit(False).alias("bucket"), F.col("political_regime").alias("name"))))
     keys = ["year", "metric_id", "metric_unit", "is_bucket", "name"]
-
-    def spread(df: DataFrame, *more: str) -> DataFrame:
-        return df.select("year", "metric_id", "metric_unit", *more, level.alias("_l")).select("*", F.col("_l.bucket").alias("is_bucket"), F.col("_l.name").alias("name"))
-
-    agg = spread(work, "country_iso3", "value", "_people").groupBy(*keys).agg(
-        F.count_distinct("country_iso3").alias("n_countries"),
-        F.avg("value").alias("mean_value"),
-        F.sum("value").alias("sum_value"),
+    work = work.select("year", "metric_id", "metric_unit", "country_iso3", "value", "_people", "_times", "yoy_pct_growth", level.alias("_l")).select("*", F.col("_l.bucket").alias("is_bucket"), F.col("_l.name").alias("name"))
+    # by country first, so that countries are counted without a distinct
+    parts = work.groupBy(*keys, "country_iso3").agg(
+        F.sum("_times").alias("_n"),
+        F.sum(F.col("value") * F.col("_times")).alias("_sum"),
         F.sum(F.col("value") * F.coalesce("_people", F.lit(0.0))).alias("_weighted"),
         F.sum("_people").alias("_weight"),
+        F.sum(F.when(F.col("name").isNotNull(), F.col("yoy_pct_growth"))).alias("_yoy"),
+        F.count(F.when(F.col("name").isNotNull(), F.col("yoy_pct_growth"))).alias("_n_yoy"),
+    )
+    n_yoy = F.sum("_n_yoy")
+    out = parts.groupBy(*keys).agg(
+        F.count("country_iso3").alias("n_countries"),
+        (F.sum("_sum") / F.sum("_n")).alias("mean_value"),
+        F.sum("_sum").alias("sum_value"),
+        F.sum("_weighted").alias("_weighted"),
+        F.sum("_weight").alias("_weight"),
+        F.when(n_yoy > 0, F.sum("_yoy") / n_yoy).alias("mean_yoy_pct_growth"),
     )
-    yoy = spread(growth.where(F.col("yoy_pct_growth").isNotNull()), "yoy_pct_growth").where(F.col("name").isNotNull())
-    yoy = yoy.groupBy(*keys).agg(F.avg("yoy_pct_growth").alias("mean_yoy_pct_growth"))
     order = Window.partitionBy("metric_id", "metric_unit", "is_bucket", "name").orderBy("year")
-    out = agg.join(yoy, keys, "left").withColumn("prev_mean_value", F.lag("mean_value").over(order))
+    out = out.withColumn("prev_mean_value", F.lag("mean_value").over(order))
     return out.select(
         "year",
         "metric_id",
@@ -108,22 +115,19 @@ def country_latest_metrics(fact: DataFrame, years: int = 10) -> DataFrame:
     One row per country is left when the ranks are taken, so their single partition is small.
     """
     require_columns(fact, FACT)
-    named = fact.withColumn("_m", F.col("metric_id"))
-    last = latest_by(named, ("country_iso3", "metric_id"))
-    growth = cagr(fact, years=years).select("country_iso3", "metric_id", "cagr_pct")
-    both = last.join(growth, ["country_iso3", "metric_id"], "left")
-    cells = []
+    rows = fact.where(F.col("value").isNotNull())
+    labels = ("country_name", "political_regime", "political_regime_bucket", "existence_status")
+    cells = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("year", c))).alias(c) for c in labels]
     for metric, name in SHORT.items():
         own = F.col("metric_id") == metric
-        cells += [
-            F.max(F.when(own, F.col("value"))).alias(f"latest_{name}"),
-            F.max(F.when(own, F.col("year"))).alias(f"{name}_latest_year"),
-            F.max(F.when(own, F.col("cagr_pct"))).alias(f"{name}_{years}yr_cagr_pct"),
-        ]
-    wide = both.groupBy("country_iso3").agg(*cells)
-    labels = ("country_name", "political_regime", "political_regime_bucket", "existence_status")
-    known = fact.where(F.col("value").isNotNull())
-    profile = known.groupBy("country_iso3").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("year", c))).alias(c) for c in labels))
-    latest_year = F.greatest(*(F.col(f"{name}_latest_year") for name in SHORT.values()))
-    out = wide.join(profile, "country_iso3", "left").withColumn("latest_year", latest_year)
+        cells += [F.max(F.when(own, F.struct("year", (-F.col("value")).alias("v")))).alias(f"_{name}"), F.collect_list(F.when(own, F.struct("year", "value"))).alias(f"_{name}_series")]
+    wide = rows.groupBy("country_iso3").agg(*cells)  # a country's series is a value a year
+
+    def latest(name: str) -> list[Column]:
+        end, value = F.col(f"_{name}.year"), -F.col(f"_{name}.v")
+        start = F.array_min(F.transform(F.filter(f"_{name}_series", lambda s: s["year"] == end - years), lambda s: s["value"]))
+        return [value.alias(f"latest_{name}"), end.alias(f"{name}_latest_year"), cagr_pct(start, value, F.lit(float(years))).alias(f"{name}_{years}yr_cagr_pct")]
+
+    out = wide.select("country_iso3", *(c for name in SHORT.values() for c in latest(name)), *labels)
+    out = out.withColumn("latest_year", F.greatest(*(F.col(f"{name}_latest_year") for name in SHORT.values())))
     return out.withColumns({f"{name}_rank": min_rank(F.col(f"latest_{name}")) for name in SHORT.values()})

@@ -49,16 +49,25 @@ def scored(observations: DataFrame, plan: DataFrame, weights: DataFrame, categor
     rows = usable(observations, plan).join(F.broadcast(categories), "category")
     rows = rows.where(~F.col("owner_only") | (F.col("source_id") == F.col("owning_source")))
     by = [*keys, "category"]
-    seen = rows.groupBy(*by).agg(
-        F.count_distinct("source_id").alias("n_sources"),
-        F.count_distinct("variable_name").alias("n_observed"),
-        F.count_distinct(F.when(F.col("role") == "required", F.col("variable_name"))).alias("n_required"),
+    # one pass: groups of a rubric, then categories; the sets hold names of the plan and of sources, so they are small
+    parts = rows.groupBy(*by, "rubric_group").agg(
+        F.avg("normalized_value").alias("_mean"),
+        F.collect_set("source_id").alias("_sources"),
+        F.collect_set("variable_name").alias("_variables"),
+        F.collect_set(F.when(F.col("role") == "required", F.col("variable_name"))).alias("_required"),
         F.max((F.col("temporal_kind") != "direct").cast("int")).alias("any_proxy"),
     )
-    total = group_components(rows, weights, keys).groupBy(*by).agg(F.sum("contribution").alias("normalized_score"))
+    size = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
+    seen = parts.join(F.broadcast(weights), ["category", "rubric_group"], "left").groupBy(*by).agg(
+        size("_sources").alias("n_sources"),
+        size("_variables").alias("n_observed"),
+        size("_required").alias("n_required"),
+        F.max("any_proxy").alias("any_proxy"),
+        F.sum(F.col("weight") * F.col("_mean")).alias("normalized_score"),
+    )
     sizes = plan.groupBy("category").agg(F.count_distinct("variable_name").alias("n_expected"), F.count_distinct(F.when(F.col("role") == "required", F.col("variable_name"))).alias("n_need"))
     out = entities.select(*keys).distinct().crossJoin(F.broadcast(categories.join(sizes, "category")))
-    out = out.join(seen, by, "left").join(total, by, "left").na.fill(0, ["n_sources", "n_observed", "n_required", "any_proxy"])
+    out = out.join(seen, by, "left").na.fill(0, ["n_sources", "n_observed", "n_required", "any_proxy"])
     enough = F.col("n_sources") >= F.col("min_sources")
     value = F.when(enough, clamp(F.col("normalized_score")))
     lacks = F.col("n_required") < F.col("n_need")

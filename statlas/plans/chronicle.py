@@ -25,6 +25,7 @@ DIRECT, POLYARCHY_ONLY, PROXY, UNKNOWN = 80, 70, 60, 50
 CURATED_SYSTEM, DEFAULT_SYSTEM, NO_SYSTEM = 70, 40, 30
 RULER_CONFIDENCE = {"archigos": 70, "reign": 65, "curated": 70, "wikidata": 60}
 SEVERAL_RULERS = 50
+PLACEHOLDER = ("colonial-rule", "colonial_rule_placeholder")
 LAST_REGIME_YEAR = 2025
 LAST_MADDISON = 2022
 #: Weights of the row confidence: regime, system, then the presence of each source.
@@ -173,7 +174,7 @@ def build(scope: DataFrame, vdem: DataFrame, wdi: DataFrame, maddison: DataFrame
     """One row per country of scope (iso3, name, start_year, end_year) and year.
 
     sipri: iso3, year, military_spend. ruler_rows: as rulers() gives them. A country-year without a ruler that is dependent gets a
-    placeholder for colonial rule.
+    placeholder for colonial rule, which counts as a ruler in the row's confidence.
     """
     rows = grid(scope, first, last).withColumn("existence_status", existence_status(F.col("start_year"), F.col("end_year"), F.col("year")))
     rows = with_area(with_economy(with_system(with_regime(rows, vdem)), maddison, wdi, vdem), area)
@@ -181,8 +182,8 @@ def build(scope: DataFrame, vdem: DataFrame, wdi: DataFrame, maddison: DataFrame
     c = F.col
     colonial = c("ruler_name").isNull() & F.coalesce("dependent", F.lit(False))
     rows = rows.withColumns({"_colonial": colonial, "multiple_rulers": F.coalesce("multiple_rulers", F.lit(False)), "ruler_confidence": F.coalesce("ruler_confidence", F.lit(0))})
-    rows = rows.withColumns({"ruler_source": F.when(colonial, "colonial-rule").otherwise(c("ruler_source")), "ruler_name": F.when(colonial, "Colonial rule").otherwise(c("ruler_name"))})
-    has = {"wdi": (c("population.source") == "wdi") | (c("gdp.source") == "wdi"), "sipri": c("military_spend").isNotNull(), "maddison": (c("population.source") == "maddison_project") | (c("gdp.source") == "maddison_project"), "ruler": c("ruler_name").isNotNull() & ~colonial}
+    rows = rows.withColumns({"ruler_source": F.when(c("_colonial"), PLACEHOLDER[1]).otherwise(c("ruler_source")), "ruler_name": F.when(c("_colonial"), PLACEHOLDER[0]).otherwise(c("ruler_name"))})
+    has = {"wdi": (c("population.source") == "wdi") | (c("gdp.source") == "wdi"), "sipri": c("military_spend").isNotNull(), "maddison": (c("population.source") == "maddison_project") | (c("gdp.source") == "maddison_project"), "ruler": c("ruler_name").isNotNull()}
     has = {k: F.coalesce(v, F.lit(False)) for k, v in has.items()}
     total = ROW_WEIGHTS["regime"] * c("regime_confidence") + ROW_WEIGHTS["system"] * c("system_confidence")
     for k, v in has.items():

@@ -6,6 +6,8 @@ population (customers who ordered), gdp (order value) and gdp per head.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +30,19 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("n_nationkey", F.col("n_name").alias("country_iso3"), F.col("r_name").alias("political_regime_bucket"), F.concat(F.lit("regime "), F.col("n_nationkey") % 4).alias("political_regime"))
 
 
-def country_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+def in_years(orders: DataFrame, years: tuple[int | None, int | None]) -> DataFrame:
+    """orders of the years from the first to the last (None: open), as a range of dates that the scan can use."""
+    first, last = years
+    if first is not None:
+        orders = orders.where(F.col("o_orderdate") >= F.lit(datetime(first, 1, 1)))
+    if last is not None:
+        orders = orders.where(F.col("o_orderdate") < F.lit(datetime(last + 1, 1, 1)))
+    return orders
+
+
+def country_years(spark: SparkSession, sf_dir: str, years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
     """One row per country and year: population and gdp. Orders are summed by customer before they meet the countries."""
-    orders = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(F.sum(money()).alias("spent"))
+    orders = in_years(table(spark, sf_dir, "orders"), years).groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(F.sum(money()).alias("spent"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # a row per customer and year is left, so population is a plain count
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -38,9 +50,9 @@ def country_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.join(F.broadcast(countries(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey")).drop("c_nationkey", "n_nationkey")
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long metric fact: a row per metric, country and year."""
-    wide = country_years(spark, sf_dir).withColumn("per_head", F.col("gdp") / F.col("population"))
+def fact(spark: SparkSession, sf_dir: str, years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """The long metric fact: a row per metric, country and year, of the years asked for."""
+    wide = country_years(spark, sf_dir, years).withColumn("per_head", F.col("gdp") / F.col("population"))
     long = wide.unpivot(["country_iso3", "political_regime_bucket", "political_regime", "year"], ["population", "gdp", "per_head"], "measure", "value")
     metric = F.when(F.col("measure") == "population", POPULATION).when(F.col("measure") == "gdp", GDP).otherwise(PER_HEAD)
     return long.select(

@@ -20,6 +20,16 @@ def condition(f: Filter) -> Column:
     return {"eq": lambda: c == f.value, "in": lambda: c.isin(list(f.value)), "gte": lambda: c >= f.value, "lte": lambda: c <= f.value}[f.operator]()
 
 
+def years_of(query: Query) -> tuple[int | None, int | None]:
+    """The first and last year that a query asks for, by its time range and its filters of year; None where it is open."""
+    low = [f.value for f in query.filters if f.field == "year" and f.operator in ("eq", "gte")]
+    high = [f.value for f in query.filters if f.field == "year" and f.operator in ("eq", "lte")]
+    if query.time_range is not None:
+        low.append(query.time_range[0])
+        high.append(query.time_range[1])
+    return max(low, default=None), min(high, default=None)
+
+
 def labelled(df: DataFrame) -> DataFrame:
     """metric_label and value_unit, empty for metrics that are not registered."""
     labels, units = ({k: getattr(m, a) for k, m in METRICS.items()} for a in ("label", "unit"))
@@ -49,18 +59,26 @@ def transformed(df: DataFrame, t: Transform, series: tuple[str, ...] = SERIES) -
     elif t.kind == "log10":
         new = F.when(value > 0, F.log10(value))
     elif t.kind == "min_max_normalize":
-        low, high = F.min(value).over(Window.partitionBy("metric_id")), F.max(value).over(Window.partitionBy("metric_id"))
-        new = F.when(high > low, (value - low) / (high - low))
+        # an aggregate that combines before the exchange: a window would put a whole metric into one task
+        ends = df.groupBy("metric_id").agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+        df = df.join(ends, "metric_id")
+        new = F.when(F.col("_high") > F.col("_low"), (value - F.col("_low")) / (F.col("_high") - F.col("_low")))
     else:
         new = value
     if t.metric_ids:
         new = F.when(F.col("metric_id").isin(list(t.metric_ids)), new).otherwise(value)
-    return df.withColumn("value", new)
+    return df.withColumn("value", new).drop("_low", "_high")
+
+
+def with_weights(fact: DataFrame, query: Query) -> DataFrame:
+    """fact's rows of the query's metrics and its weights, with the weight of their country and year: one pass, no join."""
+    rows = fact.where(F.col("metric_id").isin([*query.metric_ids, query.weight_metric_id]))
+    own = F.when(F.col("metric_id") == query.weight_metric_id, F.col("value"))
+    return rows.withColumn("_w", F.max(own).over(Window.partitionBy("country_iso3", "year")))
 
 
-def weighted(df: DataFrame, fact: DataFrame, query: Query) -> DataFrame:
-    weights = fact.where((F.col("metric_id") == query.weight_metric_id) & F.col("value").isNotNull()).groupBy("country_iso3", "year").agg(F.max("value").alias("_w"))
-    both = df.join(weights, ["country_iso3", "year"], "left").where(F.col("value").isNotNull() & F.col("_w").isNotNull())
+def weighted(df: DataFrame, query: Query) -> DataFrame:
+    both = df.where(F.col("value").isNotNull() & F.col("_w").isNotNull())
     total = F.sum("_w")
     return both.groupBy(*query.group_by, "metric_id").agg(F.when(total != 0, F.sum(F.col("value") * F.col("_w")) / total).alias("value"))
 
@@ -72,7 +90,7 @@ def execute(query: Query, fact: DataFrame, strict: bool = True) -> DataFrame:
     nulls alone is 0, other aggregates of nulls alone are null; count counts rows.
     """
     validated(query, strict)
-    df = selected(fact, query)
+    df = selected(with_weights(fact, query) if query.aggregation == "weighted_mean" else fact, query)
     for t in query.transforms:
         df = transformed(df, t)
     require_columns(df, list(query.group_by))
@@ -87,7 +105,7 @@ def execute(query: Query, fact: DataFrame, strict: bool = True) -> DataFrame:
     if query.aggregation == "none":
         return labelled(df)
     if query.aggregation == "weighted_mean":
-        out = weighted(df, fact, query)
+        out = weighted(df, query)
     else:
         out = df.groupBy(*query.group_by, "metric_id").agg(kinds[query.aggregation]().alias("value"))
     return labelled(out.withColumn("aggregation", F.lit(query.aggregation)))

@@ -123,8 +123,11 @@ def test_best_observation_order(spark):
 
 def test_evidence_membership(spark):
     obs = spark.createDataFrame([("s", "f", "i", 2020, "AAA", "Aland", None, "Ann"), ("s", "f", "i", None, None, None, None, None)], "source_id string, family string, indicator_code string, year int, country_code string, country_name string, leader_id string, leader_name string")
-    count = lambda **q: evidence.query_observations(obs, evidence.EvidenceQuery(**q)).count()
-    assert [count(), count(sources=("s",)), count(sources=()), count(years=(2020,)), count(countries=("Aland",)), count(countries=("AAA",)), count(leaders=("Ann",)), count(leaders=("x",))] == [2, 2, 0, 1, 1, 1, 1, 0]
+    count = lambda **q: evidence.matching(obs, q).count()
+    assert [count(), count(source=("s",)), count(source=()), count(year=(2020,)), count(country=("Aland",)), count(country=("AAA",)), count(leader=("Ann",)), count(leader=("x",))] == [2, 2, 0, 1, 1, 1, 1, 0]
+    assert [count(country=(" aLAND",)), count(country=("aaa", "x")), count(leader=("ann",))] == [1, 1, 0]
+    with pytest.raises(ValueError, match="unknown dimensions"):
+        count(place=("x",))
 
 
 def test_scores(spark):
