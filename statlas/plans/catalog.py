@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,12 +9,12 @@ from statlas.functions import scalars as S
 from statlas.operators import concepts, evidence, growth, intervals, joins, reshape, scoring, series
 from statlas.plans import categories, chronicle, facts, slices
 from statlas.plans.query import execute, years_of
+from statlas.plans.registered import ORACLE_SQL, QUERIES, query
 from statlas.plans.spec import Filter, Query, Transform, from_payload
 from statlas.sources import adapters
 from statlas.streaming import ingest
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 #: The country-year fact, as facts.fact() builds it.
 FACT_SQL = """
@@ -32,18 +30,6 @@ f AS (SELECT 'chronicle.population' AS metric_id, * EXCLUDE (population, gdp), p
 CUSTOMER_SQL = "g AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS INT) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS value, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY ALL)"
 
 
-def query(sql: str):
-    """Register a function under its own name, with its oracle."""
-
-    def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return keep
-
-
 def _r(c: str | Column, digits: int = 4) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
 

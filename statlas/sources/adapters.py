@@ -82,6 +82,12 @@ def _text_numbers(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*(F.col(c) if c in keys else S.to_double(F.col(c)).alias(c) for c in df.columns))
 
 
+def with_raw_text(df: DataFrame, country: str, variables: Sequence[str], number: Callable[[Column], Column], year: str = "year") -> DataFrame:
+    """A row per country, year and variable: value, and raw_value with the original text of the cell; empty cells are dropped."""
+    long = df.unpivot([country, year], list(variables), "indicator_code", "raw_value").where("raw_value is not null")
+    return long.select(F.col(country).alias("country_code"), S.to_double(F.col(year)).cast("int").alias("year"), "indicator_code", number(F.col("raw_value")).alias("value"), "raw_value")
+
+
 # V-Dem: sentinels are null, and a row is emitted for missing cells too
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statlas.functions import scalars as S
-
+from statlas.session import let_workers_import
 
 #: The signs that the Western code page has where Latin-1 has control characters: those, and what they stand for.
 _OWN = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
@@ -120,6 +120,7 @@ def wide_years(df: DataFrame, keys: Sequence[str], prefixes: Sequence[str], year
 
 def decoded(spark: SparkSession, path: str, schema: str, decode: Callable[[str, bytes], Iterator[pd.DataFrame]]) -> DataFrame:
     """The frames that decode(path, content) makes of each file; a file is one row of binaryFile, read by one task."""
+    let_workers_import(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

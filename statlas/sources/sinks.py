@@ -12,6 +12,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlas.sources.readers import csv_strings
+
 
 def replace_partitions(df: DataFrame, path: str, keys: Sequence[str] = ("source_id", "year")) -> None:
     """Write df and replace exactly the partitions that it has rows of; running it again changes nothing."""
@@ -30,10 +32,15 @@ def without_tagged(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.where(~F.coalesce(F.startswith(F.col(column), F.lit(prefix)), F.lit(False)))
 
 
-def manifest(df: DataFrame, path: str, source: str, attribution: str = "") -> dict:
-    """Counts, years and indicators of a run, as JSON with sorted keys; one aggregate row reaches the driver."""
+def run_manifest(df: DataFrame, source: str, attribution: str = "") -> dict:
+    """Counts, years and indicators of a run; one aggregate row reaches the driver."""
     row = df.agg(F.count("*").alias("n"), F.min("year").alias("first"), F.max("year").alias("last"), F.array_sort(F.collect_set("indicator_code")).alias("indicators")).first()
-    found = {"source": source, "rows": row["n"], "first_year": row["first"], "last_year": row["last"], "indicators": row["indicators"], "attribution": attribution}
+    return {"source": source, "rows": row["n"], "first_year": row["first"], "last_year": row["last"], "indicators": row["indicators"], "attribution": attribution}
+
+
+def manifest(df: DataFrame, path: str, source: str, attribution: str = "") -> dict:
+    """run_manifest() as JSON with sorted keys."""
+    found = run_manifest(df, source, attribution)
     atomic_text(path, json.dumps(found, sort_keys=True, indent=1) + "\n")
     return found
 
@@ -63,6 +70,24 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], comments: Sequen
     return n
 
 
+def write_csv_parts(df: DataFrame, path: str, columns: Sequence[str], formats: Mapping[str, str] | None = None) -> None:
+    """CSV with a header in as many files as df has partitions, written by tasks: for tables that no single file should hold."""
+    cells = [F.when(F.col(c).isNotNull(), F.format_string(formats[c], c)).alias(c) if c in (formats or {}) else F.col(c).cast("string").alias(c) for c in columns]
+    df.select(*cells).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+
+
+def save_typed(spark: SparkSession, path: str, table: str, types: Mapping[str, str]) -> int:
+    """CSV at path as a table with the types stated; cells that do not fit are null, columns that are not named are left out."""
+    database = table.rpartition(".")[0]
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    df = csv_strings(spark, path)
+    flag = lambda c: F.when(F.lower(c).isin("true", "1", "yes"), True).when(F.lower(c).isin("false", "0", "no"), False)
+    cells = [(flag(F.trim(c)) if kind == "boolean" else F.trim(c).try_cast(kind)).alias(c) for c, kind in types.items()]
+    df.select(*cells).write.mode("overwrite").saveAsTable(table)
+    return spark.table(table).count()
+
+
 def score_rows(scores: DataFrame) -> DataFrame:
     """Scores as text cells: NA where there is no score, four decimals, flags joined by |; by country and category."""
     shown = F.when(F.col("score_1_10").isNull(), "NA").otherwise(F.col("score_1_10").cast("string"))
