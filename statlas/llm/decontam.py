@@ -8,8 +8,11 @@ looked up under its own signature of each class: sharing one bin minimum makes a
 candidates are verified by exact containment over all shingles of document and item.
 
 Items of fewer than SMALL shingles are looked up by every shingle, as a few bins could all be
-missed. The items are the query set; they are sent to the tasks in blocks of at most BLOCK_BYTES,
-and each block is one pass over the documents, without any exchange of documents.
+missed. A benchmark of at most BLOCK_BYTES is sent to the tasks whole, and documents are not exchanged.
+A larger one is a table of keys: each item's shingle with the smallest class from which on it is the
+minimum of its bin. Documents give their bin minima (and the shingles that a small item could have)
+that a bit table of the items' shingles lets pass, keys meet by equality, and only the texts of pairs
+that share one are looked at again.
 """
 
 from __future__ import annotations
@@ -24,17 +27,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlas.llm import _text
-from statlas.llm._util import fresh, prepare
+from statlas.llm._util import cut, fresh, prepare
 
 U = np.uint64
 SHINGLE, CONTAINMENT = 5, 0.8
 BINS_PER_SHINGLE = 0.5
 SMALL = 16
 CLASSES = range(0, 34)
-#: Bytes of item texts in a block. An item's texts and signatures take about 60 times as much in a task.
+#: Bytes of item texts that are sent to every task. An item's texts and signatures take about 60 times as much in a task.
 BLOCK_BYTES = 2 << 20
 #: Bits of a shingle hash in a signature; the rest of the word holds the document within a chunk.
 BITS = 44
+#: Bits of the table that lets shingles of items pass: eight for each, and at most these (32 MB).
+MAX_FILTER = 1 << 28
+FILTER_BLOCK = 1 << 16
 
 
 def bin_bits(size_class: int) -> int:
@@ -161,67 +167,206 @@ def search_chunk(data: np.ndarray, offsets: np.ndarray, items: Items, shingle: i
     return out
 
 
-def _blocks(rows: Iterator, size: int) -> Iterator[list[tuple[int, bytes]]]:
-    block, held = [], 0
-    for r in rows:
-        text = bytes(r["text"])
-        if block and held + len(text) > size:
-            yield block
-            block, held = [], 0
-        block.append((r["item_id"], text))
-        held += len(text)
-    if block:
-        yield block
+def _minima(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, class, value) of the bin minima of each text's distinct shingles."""
+    texts, classes, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, U)]
+    data = _text.LOWER[data]
+    starts, ends, first = _text.words(data, offsets, _text.NOT_ALNUM)
+    whole = _text.grams(_text.word_hashes(data, starts, ends), shingle)
+    for t in range(len(offsets) - 1):
+        own = np.unique(whole[first[t] : max(first[t], first[t + 1] - shingle + 1)] >> U(64 - BITS))
+        if len(own):
+            size_class = int(class_of(np.array([len(own)]))[0])
+            least = signature(own, size_class)
+            texts.append(np.full(len(least), t))
+            classes.append(np.full(len(least), size_class))
+            values.append(least)
+    return np.concatenate(texts), np.concatenate(classes), np.concatenate(values)
+
+
+def first_classes(values: np.ndarray) -> np.ndarray:
+    """For each of an item's sorted hashes of BITS bits the smallest class in whose signature it is; it is in all larger ones too."""
+    out = np.full(len(values), CLASSES.stop, np.int64)
+    for size_class in reversed(CLASSES):
+        shift = U(BITS - min(BITS, bin_bits(size_class)))
+        bins = values >> shift
+        out[np.r_[True, bins[1:] != bins[:-1]]] = size_class
+    return out
+
+
+_KEY = "kind int, value long, class int, item long"
+
+
+def _item_keys(items: DataFrame, shingle: int) -> DataFrame:
+    """(kind, value, class, item): kind 0 for bin minima from a class on, else the words in a shingle of a small item. items: (item, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = text.as_py()
+                h, width = shingle_hashes(raw, shingle), min(shingle, word_count(raw))
+                if not len(h):
+                    continue
+                if width == shingle and len(h) >= SMALL:
+                    value = np.unique(h >> U(64 - BITS))
+                    kind, classes = 0, first_classes(value)
+                else:
+                    value, kind, classes = h, width, np.zeros(len(h), np.int64)
+                n = len(value)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(value.view(np.int64)), pa.array(classes.astype(np.int32)), pa.array(np.full(n, item))], names=["kind", "value", "class", "item"])
+
+    return items.mapInArrow(run, _KEY)
+
+
+def _cells(kind: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
+    return (_text.mix(value.astype(U) ^ (kind.astype(U) << U(56))) & U(size - 1)).astype(np.int64)
+
+
+def _filter(keys: DataFrame, size: int) -> np.ndarray:
+    """A table of size bits with those of all keys set; its blocks are gathered, at most MAX_FILTER bits."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size, bool)
+        for batch in batches:
+            bits[_cells(np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(U), size)] = True
+        blocks = np.packbits(bits, bitorder="little").reshape(-1, FILTER_BLOCK // 8)
+        for i in np.flatnonzero(blocks.any(axis=1)):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([blocks[i].tobytes()], pa.binary())], names=["block", "bits"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held[block] = held.get(block, np.uint8(0)) | np.frombuffer(raw, np.uint8)
+        for block, found in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([found.tobytes()], pa.binary())], names=["block", "bits"])
+
+    merged = keys.select("kind", "value").mapInArrow(mark, "block long, bits binary").repartition(F.col("block")).mapInArrow(merge, "block long, bits binary")
+    out = np.zeros(size // 8, np.uint8)
+    for block, raw in merged.collect():
+        out[block * FILTER_BLOCK // 8 : (block + 1) * FILTER_BLOCK // 8] = np.frombuffer(raw, np.uint8)
+    return out
+
+
+def _joined(texts: DataFrame, benchmark: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(hash, item, n_shared, n_item) of different texts (hash, text) and items that contain enough of each other, found by equality of keys.
+
+    hash and item are 64-bit hashes of the lower-cased texts.
+    """
+    items = _item_rows(benchmark).select(F.xxhash64("text").alias("item"), "text").dropDuplicates(["item"])
+    keys = cut(_item_keys(items, shingle))
+    widths = sorted(r[0] for r in keys.select("kind").where("kind > 0").distinct().collect())  # as many as a shingle has words, at most
+    size = FILTER_BLOCK
+    n = keys.count()
+    while size < min(8 * n, MAX_FILTER):
+        size *= 2
+    sent = texts.sparkSession.sparkContext.broadcast(_filter(keys, size))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = np.asarray(batch.column(0))
+            for row, _, data, offsets in _text.chunks(batch.column(1)):
+                found = [(0, *_minima(data, offsets, shingle))]
+                lower = _text.LOWER[data]
+                starts, ends, first = _text.words(lower, offsets, _text.NOT_ALNUM)
+                hashed = _text.word_hashes(lower, starts, ends)
+                for w in widths:
+                    if len(hashed) >= w:
+                        at = np.flatnonzero(_text.inside(first, w))
+                        found.append((w, np.searchsorted(first, at, side="right") - 1, np.zeros(len(at), np.int64), _text.grams(hashed, w)[at]))
+                for kind, text, classes, value in found:
+                    cell = _cells(np.full(len(value), kind), value, size)
+                    on = (sent.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+                    rows = [np.full(int(on.sum()), kind, np.int32), value[on].view(np.int64), classes[on].astype(np.int32), hashes[row + text[on]]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["kind", "value", "own", "hash"])
+
+    docs = texts.mapInArrow(asked, "kind int, value long, own int, hash long")
+    pairs = cut(docs.join(keys, ["kind", "value"]).where("own >= class").select("hash", "item").distinct())
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for h, item, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                wanted = shingle_hashes(own, shingle)
+                data = _text.LOWER[np.frombuffer(text, np.uint8)]
+                starts, ends, _ = _text.words(data, np.array([0, len(data)]), _text.NOT_ALNUM)
+                has = np.unique(_text.grams(_text.word_hashes(data, starts, ends), min(shingle, word_count(own))))
+                shared = len(np.intersect1d(has, wanted, assume_unique=True))
+                if shared >= threshold * len(wanted) - 1e-9:
+                    out.append((h, item, shared, len(wanted)))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["hash", "item", "n_shared", "n_item"])
+
+    wanted = pairs.select("hash").distinct()
+    seen = texts.join(wanted, "hash").groupBy("hash").agg(F.first(F.encode("text", "UTF-8")).alias("text"))
+    both = pairs.join(seen, "hash").join(items.withColumnRenamed("text", "own"), "item").select("hash", "item", "text", "own")
+    return both.mapInArrow(verify, "hash long, item long, n_shared long, n_item long")
 
 
 def _item_rows(benchmark: DataFrame) -> DataFrame:
     return benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), F.lower("text").cast("binary").alias("text"))
 
 
+def _sent(benchmark: DataFrame, block_bytes: int) -> list[tuple[int, bytes]] | None:
+    """The items, if their texts are at most block_bytes; else nothing is read."""
+    rows = _item_rows(benchmark)
+    if (rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0) > block_bytes:
+        return None
+    return [(r["item_id"], bytes(r["text"])) for r in rows.collect()]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, threshold: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment): documents that hold at least threshold of an item's distinct shingles.
 
     Texts are lower-cased; words are runs of letters and digits. An item of fewer words than a shingle counts as
     one shingle of that many words; items and documents without words (or null) match nothing. Repeated rows on either
-    side give repeated pairs. An empty table on either side gives an empty result.
+    side give repeated pairs, null ids stay null. An empty table on either side gives an empty result. Other columns are
+    not looked at. A benchmark of more than block_bytes is joined by keys, with the same result.
     """
     prepare(docs.sparkSession)
-    spark = docs.sparkSession
     schema = "doc_id long, item_id long, n_shared long, n_item long, containment double"
     texts = docs.select(F.col("doc_id").cast("long"), F.lower("text").alias("text"))
-    out = spark.createDataFrame([], schema)
-    for block in _blocks(_item_rows(benchmark).toLocalIterator(), block_bytes):
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items = Items(sent.value, shingle)
-            for batch in batches:
-                ids = batch.column(0)
-                for row, _, data, offsets in _text.chunks(batch.column(1)):
-                    found = search_chunk(data, offsets, items, shingle, threshold)
-                    if found:
-                        t, i, shared, n = (list(x) for x in zip(*found, strict=True))
-                        columns = [ids.take(pa.array([row + x for x in t])), pa.array([items.ids[x] for x in i], pa.int64()), pa.array(shared, pa.int64()), pa.array(n, pa.int64()), pa.array([a / b for a, b in zip(shared, n, strict=True)], pa.float64())]
-                        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "n_shared", "n_item", "containment"])
-
-        out = out.union(texts.mapInArrow(run, schema))
-    return out
+    rows = _sent(benchmark, block_bytes)
+    if rows is None:
+        hashed = texts.where(F.col("text").isNotNull()).withColumn("hash", F.xxhash64("text"))
+        found = cut(_joined(hashed.select("hash", "text"), benchmark, shingle, threshold))
+        ids = _item_rows(benchmark).select("item_id", F.xxhash64("text").alias("item"))
+        named = hashed.select("doc_id", "hash").join(found, "hash").join(ids, "item")
+        return named.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+    sent = docs.sparkSession.sparkContext.broadcast(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(sent.value, shingle)
+        for batch in batches:
+            ids = batch.column(0)
+            for row, _, data, offsets in _text.chunks(batch.column(1)):
+                found = search_chunk(data, offsets, items, shingle, threshold)
+                if found:
+                    t, i, shared, n = (list(x) for x in zip(*found, strict=True))
+                    columns = [ids.take(pa.array([row + x for x in t])), pa.array([items.ids[x] for x in i], pa.int64()), pa.array(shared, pa.int64()), pa.array(n, pa.int64()), pa.array([a / b for a, b in zip(shared, n, strict=True)], pa.float64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "n_shared", "n_item", "containment"])
+
+    return texts.mapInArrow(run, schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, threshold: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs without the documents that hold an item of benchmark, found as by find_leaks and dropped in the same pass."""
+    """docs without the documents that hold an item of benchmark, found as by find_leaks; all columns stay, whatever their names."""
     prepare(docs.sparkSession)
     schema = docs.schema
-    for block in _blocks(_item_rows(benchmark).toLocalIterator(), block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items = Items(sent.value, shingle)
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for row, _, data, offsets in _text.chunks(batch.column(batch.num_columns - 1)):
-                    keep[[row + f[0] for f in search_chunk(data, offsets, items, shingle, threshold)]] = False
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=schema.names).filter(pa.array(keep))
-
-        docs = docs.withColumn(fresh(docs, "_lower")[0], F.lower("text")).mapInArrow(run, schema)
-    return docs
+    lower, mark = fresh(docs, "_lower", "_hash")
+    rows = _sent(benchmark, block_bytes)
+    if rows is None:
+        texts = docs.select(F.lower("text").alias("text")).where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("hash"), "text")
+        gone = cut(_joined(texts, benchmark, shingle, threshold).select(F.col("hash").alias(mark)).distinct())
+        return docs.join(gone, F.xxhash64(F.lower("text")) == F.col(mark), "left_anti")
+    sent = docs.sparkSession.sparkContext.broadcast(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(sent.value, shingle)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for row, _, data, offsets in _text.chunks(batch.column(batch.num_columns - 1)):
+                keep[[row + f[0] for f in search_chunk(data, offsets, items, shingle, threshold)]] = False
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=schema.names).filter(pa.array(keep))
+
+    return docs.withColumn(lower, F.lower("text")).mapInArrow(run, schema)
