@@ -1,6 +1,6 @@
 """DuckDB forms of the corpus queries that SQL can express, over the whole tables.
 
-The others fit a classifier, hash with XXH64, or read and write binary formats; tests/llm holds them
+The others fit a classifier, need look-around patterns, or read and write binary formats; tests/llm holds them
 against brute-force versions, exact round trips and held-out accuracy.
 """
 
@@ -93,10 +93,79 @@ b AS (SELECT page_id, url, list_transform(regexp_split_to_array(regexp_replace(a
 SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), ' ') AS text, CAST(length(array_to_string(list_filter(parts, lambda x: x <> ''), ' ')) AS BIGINT) AS n_chars FROM b
 """
 
+# XXH64 in integer arithmetic: 128-bit unsigned products, kept modulo 2**64. The primes of XXH64.
+_PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+_P1, _P2, _P3, _P4, _P5 = (f"{p}::UHUGEINT" for p in _PRIMES)
+
+
+def _word(x: str) -> str:
+    """x modulo 2**64."""
+    return f"(({x}) % 18446744073709551616::UHUGEINT)"
+
+
+def _turned(x: str, bits: int) -> str:
+    """A word turned left: a product modulo 2**64 - 1."""
+    return f"(({x}) * {1 << bits}::UHUGEINT % 18446744073709551615::UHUGEINT)"
+
+
+def _round(acc: str, lane: str) -> str:
+    return _word(f"{_turned(_word(f'{acc} + {lane} * {_P2}'), 31)} * {_P1}")
+
+
+def _lane(at: str, size: int = 8) -> str:
+    """size bytes from the byte at (counted from 1) of the hexadecimal text x, the lowest first."""
+    return "('0x' || " + " || ".join(f"substr(x, 2 * ({at}) + {2 * i - 1}, 2)" for i in reversed(range(size))) + ")::UBIGINT::UHUGEINT"
+
+
+def _folded(start: str, lanes: str, step: str) -> str:
+    return f"list_reduce(list_prepend({start}, {lanes}), lambda h, k: {step})"
+
+
+def _merged(h: str, part: str) -> str:
+    return _word(f"xor({h}, {_round('0::UHUGEINT', part)}) * {_P1} + {_P4}")
+
+
+def _xxh64(seed: int) -> str:
+    """CTEs from t(s) to hashed(s, h): the XXH64 of each text s."""
+    starts = (seed + _PRIMES[0] + _PRIMES[1], seed + _PRIMES[1], seed, seed - _PRIMES[0])
+    stripes = ", ".join(_folded(f"{x % (1 << 64)}::UHUGEINT", f"list_transform(range(n // 32), lambda j: {_lane(f'32 * j + {8 * i + 1}')})", _round("h", "k")) for i, x in enumerate(starts))
+    long = _word(" + ".join(_turned(f"v[{i + 1}]", bits) for i, bits in enumerate((1, 7, 12, 18))))
+    for i in range(4):
+        long = _merged(long, f"v[{i + 1}]")
+    eight = _word(f"{_turned(f'xor(h, {_round("0::UHUGEINT", "k")})', 27)} * {_P1} + {_P4}")
+    four = _word(f"{_turned(f'xor(h, {_word(f"{_lane("n - n % 8 + 1", 4)} * {_P1}")})', 23)} * {_P2} + {_P3}")
+    one = _word(f"{_turned(f'xor(h, {_word(f"k * {_P5}")})', 11)} * {_P1}")
+    return f"""
+x0 AS (SELECT s, hex(s) AS x, strlen(s) AS n FROM t),
+x1 AS (SELECT *, CASE WHEN n >= 32 THEN [{stripes}] END AS v FROM x0),
+x2 AS (SELECT s, x, n, {_word(f"CASE WHEN n >= 32 THEN {long} ELSE {(seed + _PRIMES[4]) % (1 << 64)}::UHUGEINT END + n::UHUGEINT")} AS h FROM x1),
+x3 AS (SELECT s, x, n, {_folded("h", f"list_transform(range((n % 32) // 8), lambda j: {_lane('n - n % 32 + 8 * j + 1')})", eight)} AS h FROM x2),
+x4 AS (SELECT s, x, n, CASE WHEN n % 8 >= 4 THEN {four} ELSE h END AS h FROM x3),
+x5 AS (SELECT s, {_folded("h", f"list_transform(range(n % 4), lambda j: {_lane('n - n % 4 + j + 1', 1)})", one)} AS h FROM x4),
+x6 AS (SELECT s, {_word(f"xor(h, h // {1 << 33}::UHUGEINT) * {_P2}")} AS h FROM x5),
+x7 AS (SELECT s, {_word(f"xor(h, h // {1 << 29}::UHUGEINT) * {_P3}")} AS h FROM x6),
+hashed AS (SELECT s, xor(h, h // {1 << 32}::UHUGEINT)::UBIGINT AS h FROM x7)"""
+
+
+_FINGERPRINTS = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORDS}') AS w FROM documents),
+g AS (SELECT doc_id, array_to_string(w[i : i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i FROM d)),
+c AS (SELECT doc_id, s, count(*) AS k FROM g GROUP BY ALL),
+t AS (SELECT DISTINCT s FROM c),{_xxh64(42)},
+z AS (SELECT doc_id, sum(k) AS n, {", ".join(f"sum(k * ((h >> {i}) & 1)) AS b{i}" for i in range(64))} FROM c JOIN hashed USING (s) GROUP BY doc_id),
+p AS (SELECT d.doc_id, coalesce({" + ".join(f"CASE WHEN 2 * b{i} > n THEN {1 << i}::UBIGINT ELSE 0::UBIGINT END" for i in range(64))}, 0::UBIGINT) AS fp FROM d LEFT JOIN z USING (doc_id)),
+q AS (SELECT fp, min(doc_id) AS least_id FROM p GROUP BY fp),
+l AS (SELECT x.fp AS a, y.fp AS b FROM q x JOIN q y ON bit_count(xor(x.fp, y.fp)) <= 2),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+o AS (SELECT a, min(least_id) AS component_id FROM r JOIN q ON q.fp = r.b GROUP BY a)
+SELECT doc_id, lower(lpad(hex(fp), 16, '0')) AS fingerprint, component_id FROM p JOIN o ON o.a = p.fp
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op6_main_text": _ARTICLES,
     "op1_decontamination": _CONTAINMENT,
     "op2_substring": _PASSAGES,
+    "op3_simhash": _FINGERPRINTS,
     "op4_warc": _ARCHIVES,
     "op9_mixing": _MIXING,
     "op10_urls": _URLS,
