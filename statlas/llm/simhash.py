@@ -75,8 +75,8 @@ def variants(fp: np.ndarray) -> np.ndarray:
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fp = np.asarray(batch.column(0)).view(U)
-        for i in range(0, len(fp), 4096):
-            part = fp[i : i + 4096]
+        for i in range(0, len(fp), 512):
+            part = fp[i : i + 512]
             keys = variants(part).view(np.int64).ravel()
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(part, 64).view(np.int64))], names=["key", "fp"])
 
@@ -155,8 +155,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return rows(None, *local_stars(a.view(np.int64), b.view(np.int64)))
 
     def spill(key: int, f: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(f), 512):
-            group, member = deep_rows(key, f[i : i + 512])
+        for i in range(0, len(f), 64):
+            group, member = deep_rows(key, f[i : i + 64])
             yield rows(key, group.view(np.int64), member.view(np.int64))
 
     for batch in batches:
