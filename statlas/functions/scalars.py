@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -12,9 +14,33 @@ VDEM_MISSING = ("NA", "NaN", "nan", "-999", "")
 CPI_MISSING = ("NA", "NaN", "nan", "null", "None", "")
 DASHES = ("-", "—", "n/a")
 
-# Accented letters and their plain forms, for names in Latin script.
-ACCENTED = "àáâãäåāăąçćčďđèéêëēėęěğìíîïīįıłñńňòóôõöøōőŕřśšşťţùúûüūůűųýÿžźż"
-PLAIN = "aaaaaaaaacccddeeeeeeeegiiiiiiilnnnoooooooorrsssttuuuuuuuuyyzzz"
+
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility form without marks is one letter or digit (or an apostrophe), and those where it is several characters."""
+    one, several = {}, {}
+    for n in (*range(0x80, 0xD800), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800)):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(n)) if not unicodedata.combining(c)).lower()
+        kept = re.sub("[^a-z0-9']", " ", plain)
+        if len(kept) == 1 and kept != " ":
+            one[chr(n)] = kept
+        elif kept.strip():
+            several[chr(n)] = kept
+    return one, several
+
+
+FOLDED, SPELLED = _folds()
+
+
+def _near(characters: Sequence[str], gap: int = 256) -> str:
+    """A pattern of a few ranges that hold all of characters, and others between them."""
+    codes = sorted(map(ord, characters))
+    starts = [codes[0], *(b for a, b in zip(codes[:-1], codes[1:], strict=True) if b - a > gap)]
+    ends = [*(a for a, b in zip(codes[:-1], codes[1:], strict=True) if b - a > gap), codes[-1]]
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
+#: Texts without such a character need no look at each letter. Lower-case Latin letters of few ranges are not in it.
+MAYBE_SPELLED = _near([c for c in SPELLED if ord(c) >= 0x250]) + "|" + _near([c for c in SPELLED if ord(c) < 0x250], 1)
 
 
 def finite(x: Column) -> Column:
@@ -94,11 +120,13 @@ def iso3(x: Column) -> Column:
 
 
 def plain_name(x: Column, keep_apostrophe: bool = True) -> Column:
-    """Lower case without accents; only letters, digits and single blanks (and apostrophes) stay."""
-    folded = F.translate(F.lower(x), ACCENTED, PLAIN)
-    folded = F.regexp_replace(F.regexp_replace(folded, "[̀-ͯ]", ""), "ß", "ss")
-    kept = F.regexp_replace(folded, "[^a-z0-9 ']" if keep_apostrophe else "[^a-z0-9 ]", "" if keep_apostrophe else " ")
-    return F.trim(F.regexp_replace(kept, " +", " "))
+    """Lower case without accents, by compatibility forms; other signs than letters, digits (and apostrophes) are blanks, and one at a time stays."""
+    spelled = F.create_map(*(F.lit(c) for pair in SPELLED.items() for c in pair))
+    letters = F.transform(F.split(x, ""), lambda c: F.coalesce(F.element_at(spelled, c), c))
+    whole = F.when(x.rlike(MAYBE_SPELLED), F.array_join(letters, "")).otherwise(x)
+    folded = F.translate(whole, "".join(FOLDED), "".join(FOLDED.values()))
+    bare = F.lower(F.regexp_replace(folded, r"\p{M}", ""))
+    return F.trim(F.regexp_replace(bare, "[^a-z0-9']+" if keep_apostrophe else "[^a-z0-9]+", " "))
 
 
 def mapped(x: Column, table: Mapping, default=None) -> Column:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statlas.functions.scalars import plain_name
+
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
@@ -103,3 +105,12 @@ def source_key(name: Column, needles: Sequence[tuple[str, str]], excluded: Seque
     for word in excluded:
         out = F.when(~text.contains(word), out)
     return out
+
+
+def matched_countries(df: DataFrame, name: str, aliases: DataFrame) -> DataFrame:
+    """df with iso3 and how it was found, by plain names: alias where an alias (alias, iso3) names one country, ambiguous where it names several, else unmatched."""
+    known = aliases.select(plain_name(F.col("alias")).alias("_plain"), "iso3").where("_plain <> '' and iso3 is not null")
+    known = known.groupBy("_plain").agg(F.min("iso3").alias("_code"), (F.min("iso3") != F.max("iso3")).alias("_several"))
+    both = df.withColumn("_plain", plain_name(F.col(name))).join(known, "_plain", "left")
+    found = F.when(F.col("_several"), "ambiguous").when(F.col("_code").isNotNull(), "alias").otherwise("unmatched")
+    return both.select(*df.columns, F.when(~F.col("_several"), F.col("_code")).alias("iso3"), found.alias("match"))

@@ -557,9 +557,9 @@ def regex_html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.table(spark, sf_dir, "pages").select("page_id", items.alias("n_items"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(replace(lower(strip_accents(text)), 'ß', 'ss'), '[^a-z0-9 '']', '', 'g'), ' +', ' ', 'g')) AS name FROM documents")
+@query("SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9'']+', ' ', 'g')) AS name, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')) AS match_key FROM documents")
 def name_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.table(spark, sf_dir, "documents").select("doc_id", S.plain_name(F.col("text")).alias("name"))
+    return facts.table(spark, sf_dir, "documents").select("doc_id", S.plain_name(F.col("text")).alias("name"), S.plain_name(F.col("text"), False).alias("match_key"))
 
 
 @query("SELECT o_orderkey, round(o_totalprice, 2) AS price, CAST(year(o_orderdate) // 10 * 10 AS INT) AS decade, round(year(o_orderdate) + (dayofyear(o_orderdate) - 1) / 365.0, 6) AS decimal_year FROM orders")

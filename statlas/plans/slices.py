@@ -66,3 +66,22 @@ def investigation(registry: Registry, spark, paths: dict[str, str], mapping: Dat
     if not rows.limit(1).count():
         raise ValueError(f"no rows of {concept} for {list(countries)} in {years}")
     return rows, rows.groupBy("source_id").agg(F.count("*").alias("n_rows"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+
+
+def review_queue(compared: DataFrame) -> DataFrame:
+    """The rows of a comparison that a person should look at, the largest differences first."""
+    return compared.where("review").orderBy(F.desc_nulls_last(F.abs("delta")), "iso3", "category")
+
+
+def summary(compared: DataFrame) -> DataFrame:
+    """By category: entities, scored ones, each status and rows to review."""
+    status = [F.count_if(F.col("status") == x).alias(x) for x in ("match", "conflict", "high_delta", "missing")]
+    return compared.groupBy("category").agg(F.count("*").alias("entities"), F.count("score").alias("scored"), *status, F.count_if("review").alias("review"))
+
+
+def summary_markdown(compared: DataFrame, title: str) -> str:
+    """summary() as a Markdown table; a row per category reaches the driver."""
+    table = summary(compared).orderBy("category")
+    lines = [f"# {title}", "", "| " + " | ".join(table.columns) + " |", "|" + " --- |" * len(table.columns)]
+    lines += ["| " + " | ".join(str(x) for x in row) + " |" for row in table.collect()]
+    return "\n".join(lines) + "\n"

@@ -584,3 +584,30 @@ def adapter_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = nation.select(code.alias("iso3"), F.lit(2020).alias("year"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey").cast("double")).alias("a"))
     source = Source("demo", lambda s, p: frame, long_transform("iso3", "year", ["a"]), lambda s, p: None if p else "no path")
     return _run(spark, source, "x", "country_code", "year", "indicator_code", "value", "observation_id")
+
+
+@query(
+    """WITH a(alias, iso3) AS (SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'Land' ELSE 'Land ' || n_nationkey END, repeat(chr(65 + n_nationkey), 3) FROM nation WHERE n_nationkey % 3 <> 0)
+    SELECT c_custkey, CASE WHEN c_nationkey % 3 <> 0 AND c_nationkey % 5 <> 0 THEN repeat(chr(65 + c_nationkey), 3) END AS iso3, CASE WHEN c_nationkey % 5 = 0 THEN 'ambiguous' WHEN c_nationkey % 3 = 0 THEN 'unmatched' ELSE 'alias' END AS match FROM customer"""
+)
+def country_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in other letters, accents and signs are matched by plain names; a name of several countries is ambiguous."""
+    key = F.col("n_nationkey")
+    name = lambda k, accent: F.when(k % 5 == 0, f"L{accent}nd").otherwise(F.concat(F.lit(f"L{accent}nd-"), k))
+    code = F.repeat(F.char((F.lit(65) + key).cast("bigint")), 3)
+    aliases = facts.table(spark, sf_dir, "nation").where(key % 3 != 0).select(name(key, "a").alias("alias"), code.alias("iso3"))
+    customers = facts.table(spark, sf_dir, "customer").select("c_custkey", F.upper(name(F.col("c_nationkey"), "å")).alias("country"))
+    return joins.matched_countries(customers, "country", aliases).drop("country")
+
+
+@query(
+    """WITH c AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'a' ELSE 'b' END AS category, CASE WHEN p_size % 7 <> 0 THEN p_size % 11 END AS score, p_partkey % 11 AS client, p_partkey % 101 AS confidence FROM part)
+    SELECT category, CAST(count(*) AS BIGINT) AS entities, CAST(count(score) AS BIGINT) AS scored, CAST(count(*) FILTER (abs(score - client) <= 1) AS BIGINT) AS match, CAST(count(*) FILTER (abs(score - client) = 2) AS BIGINT) AS conflict, CAST(count(*) FILTER (abs(score - client) > 2) AS BIGINT) AS high_delta, CAST(count(*) FILTER (score IS NULL) AS BIGINT) AS missing,
+    CAST(count(*) FILTER (score IS NULL OR abs(score - client) > 2 OR confidence < 60) AS BIGINT) AS review FROM c GROUP BY category"""
+)
+def slice_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by category of a comparison, as the summary's table shows them."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    rows = facts.table(spark, sf_dir, "part").select(key.alias("iso3"), F.when(key % 2 == 0, "a").otherwise("b").alias("category"), F.when(size % 7 != 0, (size % 11).cast("int")).alias("score"), F.lit(False).alias("is_proxy"), (key % 101).cast("int").alias("confidence"))
+    client = facts.table(spark, sf_dir, "part").select(key.alias("iso3"), F.when(key % 2 == 0, "a").otherwise("b").alias("category"), (key % 11).cast("int").alias("client_score"))
+    return slices.summary(slices.comparison(rows, client))

@@ -114,3 +114,27 @@ def test_command_line(spark, tmp_path, capsys):
     assert sorted(out.read_text().splitlines()[1:]) == ["2020,chronicle.population,5.0,sum,Population,persons", "2021,chronicle.population,6.0,sum,Population,persons"]
     cli.main(["growth-tables", "--fact", str(tmp_path / "f.csv"), "--out", str(tmp_path)])
     assert (tmp_path / "country_year_growth.csv").exists() and F is not None
+
+
+def test_source_commands(spark, tmp_path, capsys):
+    (tmp_path / "cpi.csv").write_text("country,iso3,year,score\nÅland,aaa,2020,40.5\nBland,,2020,1\n")
+    cli.main(["check-source", "transparency_cpi", str(tmp_path / "cpi.csv")])
+    cli.main(["check-source", "transparency_cpi", str(tmp_path / "none.csv")])
+    ready, missing = capsys.readouterr().out.splitlines()
+    assert ready == "transparency_cpi\tready" and "none.csv" in missing
+    cli.main(["ingest-source", "transparency_cpi", str(tmp_path / "cpi.csv"), str(tmp_path / "obs"), "--manifests", str(tmp_path)])
+    assert json.loads((tmp_path / "transparency_cpi.json").read_text())["rows"] == 1
+    assert [(r.country_code, r.value, r.source_id) for r in spark.read.parquet(str(tmp_path / "obs")).collect()] == [("AAA", 40.0, "transparency_cpi")]
+    (tmp_path / "aliases.csv").write_text("alias,iso3\naland,ALA\n")
+    (tmp_path / "names.csv").write_text("country\nÅLAND\nBland\n")
+    cli.main(["match-countries", str(tmp_path / "names.csv"), "country", str(tmp_path / "aliases.csv"), "--out", str(tmp_path / "m.csv")])
+    assert sorted((tmp_path / "m.csv").read_text(encoding="utf-8").splitlines()) == ["Bland,,unmatched", "country,iso3,match", "ÅLAND,ALA,alias"]
+    cli.main(["init-data-lake", str(tmp_path / "lake")])
+    assert (tmp_path / "lake" / "raw" / "vdem").is_dir()
+    scores = spark.createDataFrame([("AAA", "social", 5, False, 90), ("BBB", "social", None, False, 90)], "iso3 string, category string, score int, is_proxy boolean, confidence int")
+    client = spark.createDataFrame([("AAA", "social", 9), ("BBB", "social", 2)], "iso3 string, category string, client_score int")
+    scores.write.parquet(str(tmp_path / "scores"))
+    client.write.parquet(str(tmp_path / "client"))
+    cli.main(["compare", str(tmp_path / "scores"), str(tmp_path / "client"), str(tmp_path / "out")])
+    assert "| social | 2 | 1 | 0 | 0 | 1 | 1 | 2 |" in (tmp_path / "out" / "summary.md").read_text()
+    assert len((tmp_path / "out" / "review_queue.csv").read_text().splitlines()) == 3
