@@ -403,16 +403,17 @@ def asof_best_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_OBS_SQL}, ex AS (SELECT c_custkey AS country, p AS variable_name FROM customer CROSS JOIN (VALUES ('1-URGENT'), ('2-HIGH'), ('5-LOW')) v(p)), seen AS (SELECT DISTINCT country, variable_name FROM obs WHERE year = 1998)
-    SELECT country, variable_name, CASE variable_name WHEN '5-LOW' THEN 'X' ELSE 'F' END AS source_id, CASE variable_name WHEN '1-URGENT' THEN 'required' WHEN '2-HIGH' THEN 'preferred' ELSE 'fallback' END AS role,
-    CASE variable_name WHEN '5-LOW' THEN 'source_not_implemented' ELSE 'target_year_absent' END AS reason, CASE variable_name WHEN '1-URGENT' THEN 'high' WHEN '2-HIGH' THEN 'medium' ELSE 'low' END AS severity FROM ex ANTI JOIN seen USING (country, variable_name)"""
+    f"""WITH {_OBS_SQL}, ex AS (SELECT c_custkey AS country, year, p AS variable_name FROM customer CROSS JOIN (SELECT DISTINCT year FROM obs) y CROSS JOIN (VALUES ('1-URGENT'), ('2-HIGH'), ('5-LOW')) v(p)), seen AS (SELECT DISTINCT country, year, variable_name FROM obs)
+    SELECT country, year, variable_name, CASE variable_name WHEN '5-LOW' THEN 'X' ELSE 'F' END AS source_id, CASE variable_name WHEN '1-URGENT' THEN 'required' WHEN '2-HIGH' THEN 'preferred' ELSE 'fallback' END AS role,
+    CASE variable_name WHEN '5-LOW' THEN 'source_not_implemented' ELSE 'target_year_absent' END AS reason, CASE variable_name WHEN '1-URGENT' THEN 'high' WHEN '2-HIGH' THEN 'medium' ELSE 'low' END AS severity FROM ex ANTI JOIN seen USING (country, year, variable_name)"""
 )
 def missing_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = _observations(spark, sf_dir).where("year = 1998")
+    obs = _observations(spark, sf_dir)
     plan = spark.createDataFrame([("1-URGENT", "F", "required"), ("2-HIGH", "F", "preferred"), ("5-LOW", "X", "fallback")], "variable_name string, source_id string, role string")
-    expected = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("country")).crossJoin(F.broadcast(plan))
+    years = F.broadcast(obs.select("year").distinct())
+    expected = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("country")).crossJoin(years).crossJoin(F.broadcast(plan))
     known = spark.createDataFrame([("F",), ("O",), ("P",)], "source_id string")
-    return evidence.missing_indicators(expected, obs, known, ["country"]).select("country", "variable_name", "source_id", "role", "reason", "severity")
+    return evidence.missing_indicators(expected, obs, known, ["country", "year"]).select("country", "year", "variable_name", "source_id", "role", "reason", "severity")
 
 
 @query(
@@ -463,33 +464,35 @@ def evidence_filter_null_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PLAN = [("1-URGENT", "required", "F", "a"), ("2-HIGH", "preferred", "F", "a"), ("3-MEDIUM", "preferred", "O", "b"), ("5-LOW", "fallback", "O", "b")]
-_SCORE_SQL = f"""WITH {_OBS_SQL}, n AS (SELECT country, variable_name, source_id, least(value / 500000, 1) AS v, CASE variable_name WHEN '1-URGENT' THEN 'a' WHEN '2-HIGH' THEN 'a' ELSE 'b' END AS grp FROM obs WHERE year = 1998 AND variable_name <> '4-NOT SPECIFIED'),
-    m AS (SELECT country, grp, avg(v) AS m FROM n GROUP BY ALL), s AS (SELECT country, sum(CASE grp WHEN 'a' THEN 0.7 ELSE 0.3 END * m) AS score FROM m GROUP BY ALL),
-    k AS (SELECT country, count(DISTINCT source_id) AS n_sources, count(DISTINCT variable_name) AS n_observed, count(DISTINCT CASE WHEN variable_name = '1-URGENT' THEN 1 END) AS n_required FROM n GROUP BY ALL),
-    j AS (SELECT c_custkey AS country, coalesce(n_sources, 0) AS n_sources, coalesce(n_observed, 0) AS n_observed, coalesce(n_required, 0) AS n_required, CASE WHEN n_sources >= 2 THEN least(greatest(score, 0), 1) END AS v FROM customer LEFT JOIN k ON k.country = c_custkey LEFT JOIN s ON s.country = c_custkey)"""
+_SCORE_SQL = f"""WITH {_OBS_SQL}, n AS (SELECT country, year, variable_name, source_id, least(value / 500000, 1) AS v, CASE variable_name WHEN '1-URGENT' THEN 'a' WHEN '2-HIGH' THEN 'a' ELSE 'b' END AS grp FROM obs WHERE variable_name <> '4-NOT SPECIFIED'),
+    m AS (SELECT country, year, grp, avg(v) AS m FROM n GROUP BY ALL), s AS (SELECT country, year, sum(CASE grp WHEN 'a' THEN 0.7 ELSE 0.3 END * m) AS score FROM m GROUP BY ALL),
+    k AS (SELECT country, year, count(DISTINCT source_id) AS n_sources, count(DISTINCT variable_name) AS n_observed, count(DISTINCT CASE WHEN variable_name = '1-URGENT' THEN 1 END) AS n_required FROM n GROUP BY ALL),
+    j AS (SELECT c_custkey AS country, y.year, coalesce(n_sources, 0) AS n_sources, coalesce(n_observed, 0) AS n_observed, coalesce(n_required, 0) AS n_required, CASE WHEN n_sources >= 2 THEN least(greatest(score, 0), 1) END AS v
+          FROM customer CROSS JOIN (SELECT DISTINCT year FROM obs) y LEFT JOIN k ON k.country = c_custkey AND k.year = y.year LEFT JOIN s ON s.country = c_custkey AND s.year = y.year)"""
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = _observations(spark, sf_dir).where("year = 1998").withColumns({"category": F.lit("demo"), "normalized_value": F.least(F.col("value") / 500000, F.lit(1.0)), "temporal_kind": F.lit("direct"), "country_iso3": F.col("country")})
+    obs = _observations(spark, sf_dir).withColumns({"category": F.lit("demo"), "normalized_value": F.least(F.col("value") / 500000, F.lit(1.0)), "temporal_kind": F.lit("direct"), "country_iso3": F.col("country")})
     plan = spark.createDataFrame([("demo", *p) for p in _PLAN], "category string, variable_name string, role string, owning_source string, rubric_group string")
     weights = spark.createDataFrame([("demo", "a", 0.7), ("demo", "b", 0.3)], "category string, rubric_group string, weight double")
     categories = spark.createDataFrame([("demo", 2, False, False)], "category string, min_sources int, fixed_flags boolean, owner_only boolean")
-    entities = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("country_iso3"))
-    return scoring.scored(obs, plan, weights, categories, entities)
+    years = F.broadcast(facts.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")).distinct())
+    entities = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("country_iso3")).crossJoin(years)
+    return scoring.scored(obs, plan, weights, categories, entities, ("country_iso3", "year"))
 
 
 @query(
     _SCORE_SQL
-    + """ SELECT country AS country_iso3, round(v, 6) AS normalized_score, CAST(n_observed AS BIGINT) AS n_observed, CAST(n_sources AS BIGINT) AS n_sources, CASE WHEN n_sources >= 2 THEN 'scored' ELSE 'insufficient_data' END AS status,
+    + """ SELECT country AS country_iso3, year, round(v, 6) AS normalized_score, CAST(n_observed AS BIGINT) AS n_observed, CAST(n_sources AS BIGINT) AS n_sources, CASE WHEN n_sources >= 2 THEN 'scored' ELSE 'insufficient_data' END AS status,
     array_to_string(list_filter([CASE WHEN n_sources < 2 THEN 'insufficient_data' END, CASE WHEN n_required < 1 THEN 'missing_primary_source' END, CASE WHEN n_observed / 4 < 0.5 THEN 'sparse_data' END], lambda x: x IS NOT NULL), '|') AS flags FROM j"""
 )
 def weighted_group_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).select("country_iso3", _r("normalized_score", 6).alias("normalized_score"), "n_observed", "n_sources", "status", "flags")
+    return _scored(spark, sf_dir).select("country_iso3", "year", _r("normalized_score", 6).alias("normalized_score"), "n_observed", "n_sources", "status", "flags")
 
 
-@query(_SCORE_SQL + " SELECT country AS country_iso3, CAST(floor(1 + 9 * v + 0.5) AS INT) AS score_1_10 FROM j")
+@query(_SCORE_SQL + " SELECT country AS country_iso3, year, CAST(floor(1 + 9 * v + 0.5) AS INT) AS score_1_10 FROM j")
 def score_1_10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).select("country_iso3", "score_1_10")
+    return _scored(spark, sf_dir).select("country_iso3", "year", "score_1_10")
 
 
 @query(
@@ -514,9 +517,9 @@ def validation_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _concept_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as observations: quantity and discount by order, with gaps, doubles and zeros as they come."""
-    lines = facts.table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
-    code = F.when(F.col("l_linenumber") == 1, "rgdpo").otherwise("pop")
+    """Line items as observations: the first's quantity, the second's discount and others by order, with gaps, doubles and zeros as they come."""
+    lines = facts.table(spark, sf_dir, "lineitem")
+    code = F.when(F.col("l_linenumber") == 1, "rgdpo").when(F.col("l_linenumber") == 2, "pop").otherwise("other")
     return lines.select(F.lit("pwt").alias("source_id"), F.col("l_orderkey").alias("country_code"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("observation_id"), code.alias("indicator_code"), F.when(F.col("l_linenumber") == 1, F.col("l_quantity")).otherwise(F.col("l_discount")).alias("value"))
 
 
