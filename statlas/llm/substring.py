@@ -127,6 +127,11 @@ def _unpacked(column: pa.Array) -> list[bytes | None]:
     return [unpack(t.as_py()) if t.is_valid else None for t in column]
 
 
+def _in_parts(table: pa.Table, rows: int) -> pa.Table:
+    """table in batches of so many rows: the JVM holds a batch as a whole, outside its heap."""
+    return pa.Table.from_batches(table.to_batches(max_chunksize=rows), schema=table.schema)
+
+
 def _lists(group: int, anchors: np.ndarray, layout: Layout) -> Iterator[pa.RecordBatch]:
     """A group's sketch: per block of cells, the offsets of cells hit once and of cells hit more often."""
     at = np.sort(np.concatenate(cells(anchors, layout.width)))
@@ -271,7 +276,8 @@ def _repeats(grouped: DataFrame, answers: DataFrame, layout: Layout, window: int
         known = _by_doc(doc, tie, pos, np.full(len(doc), own, np.int32))
         key = _text.mix(known["doc"].to_numpy().astype(U)).view(np.int64)
         none = pa.array(np.full(known.num_rows, -1, np.int32))
-        return pa.concat_tables([sent, pa.Table.from_arrays([pa.array(key), none, known["doc"], known["tie"], none, known["grp"], known["places"]], schema=_ROW_SCHEMA)])
+        whole = pa.concat_tables([sent, pa.Table.from_arrays([pa.array(key), none, known["doc"], known["tie"], none, known["grp"], known["places"]], schema=_ROW_SCHEMA)])
+        return _in_parts(whole, 1 << 15)
 
     rows = grouped.groupBy(group).cogroup(answers.groupBy("grp")).applyInArrow(propose, _ROW)
     spread = rows.repartition(F.col("h1")).sortWithinPartitions("h1", "h2", "doc", "tie", "pos")
@@ -341,6 +347,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
             kept.append(b" ".join(parts))
         new = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
         old = [pa.array(texts, pa.binary()).cast(pa.string()) if i == text else left.column(i) for i in range(n - 3)]
-        return pa.Table.from_arrays([*old, *new], names=schema.names)
+        return _in_parts(pa.Table.from_arrays([*old, *new], names=schema.names), 256)
 
     return grouped.groupBy(grouped.columns[-1]).cogroup(places.groupBy("grp")).applyInArrow(apply, schema)
