@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -76,3 +78,27 @@ def test_long_runs_lose_no_pair(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(x.doc_id for x in minhash.one_of_each(docs).collect()) == kept(rows)
     assert 1 < len(kept(rows)) < 60
+
+
+@pytest.mark.parametrize(("held", "size"), [(1 << 12, 50), (17, 7), (40, 13)])
+def test_candidates_of_runs_that_are_not_held(monkeypatch, held, size):
+    monkeypatch.setattr(minhash, "HELD_RUN", held)
+    r = np.random.default_rng(1)
+    lengths = [1, 2, 300, 16, 17, 1, 90, 5]
+    keys = np.repeat(np.arange(len(lengths)), lengths)
+    nodes = np.concatenate([np.sort(r.choice(10_000, n, replace=False)) for n in lengths])
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + size]), pa.array(nodes[i : i + size])], names=["key", "node"]) for i in range(0, len(keys), size)]
+    got = {(x["a"], x["b"]) for b in minhash._candidates(iter(batches)) for x in b.to_pylist() if x["a"] != x["b"]}
+    for key, n in enumerate(lengths):
+        own = nodes[keys == key].tolist()
+        wanted = {(a, b) for i, a in enumerate(own) for b in own[i + 1 :]} if n <= minhash.SHORT_RUN else {(own[0], x) for x in own[1:]} | set(zip(own[:-1], own[1:], strict=True))
+        assert wanted <= got
+
+
+def test_pairs_across_groups_are_neighbours_only():
+    r = np.random.default_rng(2)
+    rows = sorted((int(k), int(p), int(n), int(n) % 3) for k, p, n in zip(r.integers(3, size=500), r.integers(2, size=500), r.permutation(500), strict=True))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 9], strict=True)], names=["key", "part", "node", "c"]) for i in range(0, len(rows), 9)]
+    got = [(x["a"], x["b"]) for b in minhash._across(iter(batches)) for x in b.to_pylist()]
+    wanted = [tuple(sorted((x[2], y[2]))) for i, x in enumerate(rows) for y in rows[i + 1 : i + 1 + minhash.PARTNERS] if x[:2] == y[:2] and x[3] != y[3]]
+    assert sorted(got) == sorted(wanted)
