@@ -113,6 +113,14 @@ def rounded_int(x: Column) -> Column:
     return F.bround(finite(x), 0).cast("bigint")
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """x as a double, rounded as SQL engines round doubles: scaled, to the nearest integer (a half away from zero), scaled back.
+
+    F.round() rounds the shortest decimal that reads as x, so it goes up where x is a little less than the tie it prints as.
+    """
+    return F.round(x * 10.0**digits) / 10.0**digits
+
+
 def iso3(x: Column) -> Column:
     """Three ASCII letters, trimmed and upper; else null."""
     code = F.upper(F.trim(x))

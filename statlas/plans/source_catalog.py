@@ -524,7 +524,7 @@ def component_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders.select(F.col("o_custkey").alias("country_iso3"), "o_orderkey", F.lit("c").alias("category"), F.when(F.col("o_orderstatus") == "F", "g1").otherwise("g2").alias("rubric_group"), (F.col("o_totalprice") / 1000000).alias("normalized_value"))
     weights = spark.createDataFrame([("c", "g1", 0.6), ("c", "g2", 0.4)], "category string, rubric_group string, weight double")
     out = scoring.components(rows, weights, ["country_iso3"])
-    return out.select("country_iso3", "o_orderkey", F.round("component_weight", 9).alias("component_weight"), F.round(F.col("contribution") + 0.00000011, 6).alias("contribution"))
+    return out.select("country_iso3", "o_orderkey", S.rounded(F.col("component_weight"), 9).alias("component_weight"), S.rounded(F.col("contribution") + 0.00000011, 6).alias("contribution"))
 
 
 @query("SELECT n_nationkey, 'r2' AS run_id FROM nation WHERE n_nationkey = 3")

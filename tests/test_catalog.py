@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from statlas.plans import catalog
+from statlas.plans import catalog, source_catalog
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -50,3 +50,13 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_component_rows_at_ties(spark):
+    """The larger tables have contributions at a tie of the last digit."""
+    data = DATA.replace("sf0.001", "sf0.01")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW orders AS SELECT * FROM '{data}/orders.parquet'")
+    df = source_catalog.component_rows(spark, data)
+    wanted = duck.sql(__spark_entry__.oracle_sql()["component_rows"])
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(wanted.columns, wanted.fetchall())
