@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,10 +46,29 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Actions inside remove their shuffle files when they end; else those stay until the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and go on from there."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with released(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a new frame, as the setting is read when a frame is made
+
+
+def some(df: DataFrame) -> bool:
+    """Whether df has a row."""
+    with released(df.sparkSession):
+        return bool(df.limit(1).count())
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

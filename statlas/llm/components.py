@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlas.llm._util import cut, prepare
+from statlas.llm._util import cut, prepare, released
 
 
 def local_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +43,8 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _state(edges: DataFrame) -> tuple[int, int]:
     """The number of edges and a hash of their set; exclusive or cannot overflow."""
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
+    with released(edges.sparkSession):
+        row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")).first()
     return row["n"], row["h"] or 0
 
 
