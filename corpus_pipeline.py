@@ -2,7 +2,8 @@
 
 1. language: documents whose language cannot be told go: those without text or a letter, and those whose best language is
    no more likely than all others together. A missing lang is filled with the prediction, for the budgets of stage 5.
-2. near_duplicates: one document of each group of texts with 5-word similarity of 0.8 or more stays.
+2. near_duplicates: one document of each group of texts with 5-word similarity of 0.8 or more stays; groups are found by the
+   deletion variants of SimHash fingerprints and, for pairs that these miss, by MinHash, and verified on whole sets of shingles.
 3. decontamination: documents that hold a benchmark item go.
 4. personal_data: spans of personal data are replaced by their kind.
 5. mixing: documents are chosen by token budgets of domains, languages and sources.
