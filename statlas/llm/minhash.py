@@ -8,11 +8,11 @@ nodes of different components with an equal key are candidates too, verified ali
 shares no such key with probability (1 - 0.8**ROWS)**BANDS, 1 in 70,000.
 
 Runs of up to SHORT_RUN nodes under one key are compared pair by pair. Of a longer run each node is first
-compared with the run's first and with its neighbours. Where that leaves a run in several groups, each node is
-compared with the nodes of other groups whose SimHash is nearest, and then with the nodes of other groups among its PARTNERS neighbours on either side, in an order drawn anew for
-every key and round, and rounds go on as long as they find links. So a family of near copies costs no comparison of
-all its pairs; a node that belongs to a group through a share f of the nodes that it shares keys with stays apart
-with probability (1 - f)**(2 * PARTNERS * its long keys) in each round, below 1 in 1000 for one in 32 and 28 keys.
+compared with the run's first and with its neighbours. Where that leaves a run in several groups, its texts go to
+the task of the key, which counts the shingles that each text outside the run's largest group shares with each
+text of the run, and gives only links between groups, fewer than there are groups. A run that is too
+long for one task is dealt at random into parts that do so on their own; then, if it is still in several groups, the texts outside
+its largest one visit all parts. So all pairs under a common key are judged, or of one group already.
 """
 
 from __future__ import annotations
@@ -29,19 +29,20 @@ from pyspark.sql import functions as F
 
 from statlas.llm import _text
 from statlas.llm._util import cut, prepare, some
-from statlas.llm.components import connected_components
+from statlas.llm.components import connected_components, local_stars
 from statlas.llm.simhash import FAR, WIDE, candidates, distance, keep_one, wide
 
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 5
 SHORT_RUN = 16
-#: Rows of one run that a task holds; and of a run whose groups are compared, those that go to one task.
+#: Rows of one run that a task holds; and of a run whose groups are compared, the texts that a task holds, and their shingles.
 HELD_RUN = 1 << 12
+HELD_SHINGLES = 1 << 20
 #: Texts that a task unpacks at a time.
 HELD_TEXTS = 256
+#: Texts that _across() and _nearest() propose.
 PARTNERS = 4
-ROUNDS = 8
 
 _random = np.random.default_rng(42)
 _FACTORS = _random.integers(1 << 63, size=(BANDS * ROWS, 1), dtype=np.int64).astype(U) << U(1) | U(1)
@@ -78,23 +79,24 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(hash, node, keys, words of WIDE) per row of docs (hash, text): a number of the text's set of shingles, its index keys and SimHash."""
+    """(hash, node, keys, size, words of WIDE) per row of docs (hash, text): a number of the text's set of shingles, its index keys, size and SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys, fps = [], [], [np.zeros((0, len(WIDE)), U)]
+            nodes, keys, sizes, fps = [], [], [], [np.zeros((0, len(WIDE)), U)]
             for values in shingle_sets(batch.column(1), k):
                 nodes.append(xxhash.xxh64_intdigest(values.tobytes(), 42))
                 keys.append(band_keys(values))
+                sizes.append(len(values))
                 fps.append(wide(values)[None])
             ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
             flat = np.concatenate([*keys, np.zeros(0, np.int64)])
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             words = [pa.array(np.ascontiguousarray(w)) for w in np.concatenate(fps).view(np.int64).T]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(nodes, U).view(np.int64)), lists, *words], names=["hash", "node", "keys", *WIDE])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(nodes, U).view(np.int64)), lists, pa.array(sizes, pa.int64()), *words], names=["hash", "node", "keys", "size", *WIDE])
 
     prepare(docs.sparkSession)
-    return docs.select("hash", "text").mapInArrow(run, ", ".join(["hash long, node long, keys array<long>", *(f"{c} long" for c in WIDE)]))
+    return docs.select("hash", "text").mapInArrow(run, ", ".join(["hash long, node long, keys array<long>, size long", *(f"{c} long" for c in WIDE)]))
 
 
 def pairs_of_runs(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,6 +196,99 @@ def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pairs(np.ascontiguousarray(held))
 
 
+def unpacked(column: pa.Array, k: int) -> Iterator[np.ndarray]:
+    """The sets of shingles of texts as packed() gives them."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return shingle_sets(pa.array([unpack(t.as_py()) if t.is_valid else None for t in column], pa.large_binary()), k)
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of each start, as many as its count."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def shared(sets: list[np.ndarray], values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many values each set has in common with each of n others: values are theirs, sorted, owner says whose."""
+    words = np.unique(np.concatenate(sets))
+    starts = np.searchsorted(values, words)
+    counts = np.searchsorted(values, words, side="right") - starts
+    out = np.zeros((len(sets), n), np.float32)
+    each = [np.searchsorted(words, s) for s in sets]
+    often = np.flatnonzero(counts > n // 32)  # a product of tables of bits costs less for these
+    for i in range(0, len(often), 512):
+        part = often[i : i + 512]
+        table, own = np.zeros((len(part), n), np.float32), np.zeros((len(sets), len(part)), np.float32)
+        table[np.repeat(np.arange(len(part)), counts[part]), owner[_spread(starts[part], counts[part])]] = 1
+        place = np.full(len(words), -1)
+        place[part] = np.arange(len(part))
+        for row, at in zip(own, each, strict=True):
+            on = place[at]
+            row[on[on >= 0]] = 1
+        out += own @ table
+    counts[often] = 0
+    for row, at in zip(out, each, strict=True):
+        row += np.bincount(owner[_spread(starts[at], counts[at])], minlength=n)
+    return out.astype(np.int64)
+
+
+def _linking(k: int, similarity: float):
+    """Links between the groups of each (key, part), fewer than there are groups.
+
+    Rows (key, part, visits, other, c, text) come sorted by key, part and visits: of the texts of a part those that are other than the run's
+    largest group are compared with all, then those that visit it from other parts, which are not held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held, labels, others, index = None, [], [], [], None
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def compare(sets: list[np.ndarray], of: np.ndarray) -> None:
+            nonlocal a, b
+            values, owner, sizes, c = index
+            for i in range(0, len(sets), HELD_TEXTS):
+                part = sets[i : i + HELD_TEXTS]
+                both = shared(part, values, owner, len(sizes))
+                good = both >= similarity * (np.array([len(s) for s in part])[:, None] + sizes - both)
+                x, y = np.nonzero(good & (of[i : i + HELD_TEXTS, None] != c))
+                a, b = local_stars(np.concatenate([a, of[i + x]]), np.concatenate([b, c[y]]))
+
+        def close() -> None:
+            """All texts of the part are there."""
+            nonlocal index
+            if index is None and held:
+                sizes = np.array([len(s) for s in held])
+                values = np.concatenate(held)
+                order = np.argsort(values, kind="stable")
+                c = np.array(labels, np.int64)
+                index = values[order], np.repeat(np.arange(len(held)), sizes)[order], sizes, c
+                on = np.flatnonzero(others)
+                compare([held[i] for i in on], c[on])
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, HELD_TEXTS):
+                rows = batch.slice(i, HELD_TEXTS)
+                key, part, visits, other, c = (rows.column(j).to_numpy(zero_copy_only=False) for j in range(5))
+                sets = list(unpacked(rows.column(5), k))
+                edge = (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (visits[1:] != visits[:-1])
+                for low, high in itertools.pairwise([0, *(np.flatnonzero(edge) + 1), len(key)]):
+                    if (key[low], part[low]) != place:
+                        close()
+                        yield _ordered(a, b)
+                        place, held, labels, others, index, a, b = (key[low], part[low]), [], [], [], None, a[:0], b[:0]
+                    if visits[low]:
+                        close()
+                        if index is not None:
+                            compare(sets[low:high], c[low:high])
+                    else:
+                        held += sets[low:high]
+                        labels += c[low:high].tolist()
+                        others += other[low:high].tolist()
+        close()
+        yield _ordered(a, b)
+
+    return run
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """docs (hash, text) with each text compressed."""
 
@@ -219,16 +314,12 @@ def texts_of(nodes: DataFrame, docs: DataFrame, of: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are at least so similar. texts: as texts_of() gives them."""
 
-    def sets(column: pa.Array) -> Iterator[np.ndarray]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        return shingle_sets(pa.array([unpack(t.as_py()) if t.is_valid else None for t in column], pa.large_binary()), k)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for i in range(0, batch.num_rows, HELD_TEXTS):
                 part = batch.slice(i, HELD_TEXTS)
-                for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True):
+                for x, y in zip(unpacked(part.column(2), k), unpacked(part.column(3), k), strict=True):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     good.append(both >= similarity * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
@@ -244,6 +335,25 @@ def between(pairs: DataFrame, linked: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def split_runs(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """(key, most, parts) of the runs of rows (key, node, size) that are in several groups: the largest of those, and the parts that tasks can hold."""
+    of = rows.join(linked, "node", "left").groupBy("key", F.coalesce("component", "node").alias("c")).agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    parts = F.ceil(F.greatest(F.sum("n") / HELD_RUN, F.sum("size") / HELD_SHINGLES)).alias("parts")
+    return of.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("c", F.struct("n", "c")).alias("most"), parts).where("groups > 1").drop("groups")
+
+
+def between_groups(rows: DataFrame, split: DataFrame, linked: DataFrame, texts: DataFrame, whole: bool, k: int, similarity: float) -> DataFrame:
+    """Links (a, b) between the groups of texts under one key, within its parts or, if whole, in all. split: as split_runs() gives it."""
+    named = rows.join(split, "key").join(linked, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    named = named.withColumn("other", F.col("c") != F.col("most")).withColumn("own", F.pmod(F.xxhash64("node", "key"), "parts"))
+    everywhere = F.col("other") & F.lit(whole)
+    at = F.when(everywhere, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("own"))
+    dealt = named.withColumn("part", F.explode(at)).withColumn("visits", F.col("part") != F.col("own"))
+    dealt = dealt.join(texts, "node").select("key", "part", "visits", "other", "c", "text")
+    dealt = dealt.repartition(F.col("key"), F.col("part")).sortWithinPartitions("key", "part", "visits")
+    return dealt.mapInArrow(_linking(k, similarity), "a long, b long").distinct()
+
+
 def groups(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(hash, c) for each distinct hash of docs (hash, text): texts linked by similarity have one c; those without a word are one group."""
     marked = cut(signed(docs, k))
@@ -262,24 +372,16 @@ def groups(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) ->
     if some(rest):
         links = links.union(cut(verified(rest, texts, k, similarity)))
         linked = connected_components(links)
-    pairs = similar.union(rest)  # those that have been judged
-    long = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SHORT_RUN)
-    open_rows = rows.join(long, "key")
-    words = marked.select("node", *WIDE).join(open_rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    open_rows = cut(open_rows.join(words, "node"))
-    for n in range(ROUNDS):
-        named = open_rows.join(linked, "node", "left").select("key", "n", "node", F.coalesce("component", "node").alias("c"), *WIDE)
-        split = named.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most").select("key")
-        order = F.xxhash64("node", "key", F.lit(n))
-        part = F.pmod(order, F.ceil(F.col("n") / HELD_RUN)).alias("part")  # a run in a random order may be cut anywhere
-        apart = named.join(split, "key").select("key", part, "node", "c", *WIDE, order.alias("place"))
-        apart = apart.repartition(F.col("key"), F.col("part")).sortWithinPartitions("key", "part", "place")
-        found = cut(apart.mapInArrow(_across if n else _nearest, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti"))
-        more = cut(verified(found, texts, k, similarity))
-        if n and not some(more):  # the nearest come first, then at least one round of random orders
+    long = rows.groupBy("key").count().where(F.col("count") > SHORT_RUN).select("key")
+    open_rows = cut(rows.join(long, "key").join(nodes.select("node", "size"), "node"))
+    for whole in (False, True):  # each part by itself, then the runs of several parts
+        split = cut(split_runs(open_rows, linked).where("parts > 1" if whole else "true"))
+        if not some(split):
             break
-        pairs, links = pairs.union(found), links.union(more)
-        linked = connected_components(links)
+        more = cut(between_groups(open_rows, split, linked, texts, whole, k, similarity))
+        if some(more):
+            links = links.union(more)
+            linked = connected_components(links)
     return of.join(linked, "node", "left").select("hash", F.coalesce("component", "node").alias("c"))
 
 
