@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,17 +47,25 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def released(spark: SparkSession) -> Iterator[None]:
-    """Actions inside remove their shuffle files when they end; else those stay until the driver collects its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def released(spark: SparkSession) -> AbstractContextManager[None]:
+    """Actions inside remove their shuffle files when they end; else those stay until the driver collects its garbage."""
+    return _set(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Actions inside send texts to Python in batches of 4 MB; rows of numbers stay under that anyhow."""
+    return _set(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and go on from there."""
     shared_dir(df.sparkSession)

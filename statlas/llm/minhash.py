@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statlas.llm import _text
-from statlas.llm._util import cut, prepare, some
+from statlas.llm._util import cut, prepare, small_batches, some
 from statlas.llm.components import connected_components, local_stars
 from statlas.llm.simhash import FAR, WIDE, candidates, distance, keep_one, wide
 
@@ -388,5 +388,6 @@ def groups(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) ->
 def one_of_each(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one row of each group of similar texts, chosen as simhash.keep_one() does."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"))
-    of = groups(docs.select(F.xxhash64("text").alias("hash"), "text"), k, similarity)
+    with small_batches(docs.sparkSession):
+        of = groups(docs.select(F.xxhash64("text").alias("hash"), "text"), k, similarity)
     return keep_one(docs, ids.join(of, "hash"))
